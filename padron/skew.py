@@ -1,0 +1,149 @@
+"""Joins and list packing that hold when one key carries a large share of all rows.
+
+Hot keys are found by a counting aggregate (combined on the map side, so a hot key
+costs one row per map task). A key is hot above ``max(rows_per_task, total / MAX_HOT)``
+rows, which bounds the hot list by ``MAX_HOT`` rows: that is why it may be broadcast.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+ROWS_PER_TASK = 2_000_000
+PAIR_SIDE_ROWS = 4_000
+LIST_ITEMS = 100_000
+MAX_HOT = 50_000
+
+
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def hot_keys(counts: DataFrame, keys: Sequence[str], limit: int, size: str = "_n") -> DataFrame | None:
+    """Keys above the limit with the number of salts each needs; None when there are none."""
+    total, top = counts.agg(F.sum(size), F.max(size)).first()
+    threshold = max(limit, (total or 0) // MAX_HOT)
+    if top is None or top <= threshold:
+        return None
+    return counts.filter(F.col(size) > threshold).select(
+        *keys, F.ceil(F.col(size) / F.lit(threshold)).cast("int").alias("_salts")
+    )
+
+
+def _bucket(salts: str, by: Sequence[str]) -> Column:
+    # a hash of the row, not rand(): a re-run task must send a row to the same bucket
+    return F.when(F.col(salts).isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*by), F.col(salts)).cast("int")
+    )
+
+
+def _replicas(salts: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(salts), F.lit(1)) - 1))
+
+
+def salted_join(
+    big: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    salt_by: Sequence[str] | None = None,
+    counts: DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Join a side with possibly hot keys to a side holding few rows per key.
+
+    ``big`` rows of a hot key are spread over salts; the ``small`` rows of that key
+    are repeated once per salt. ``how`` may be inner, left, left_semi or left_anti.
+    ``salt_by`` must tell the rows of one key apart (default: every column).
+    """
+    on = list(on)
+    hot = hot_keys(counts if counts is not None else key_counts(big.select(*on), on), on, rows_per_task)
+    if hot is None:
+        return big.join(small, on, how)
+    hot = F.broadcast(hot)
+    left = big.join(hot, on, "left").withColumn("_salt", _bucket("_salts", salt_by or big.columns)).drop("_salts")
+    right = small.join(hot, on, "left").withColumn("_salt", _replicas("_salts")).drop("_salts")
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
+def grid_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    left_id: Sequence[str],
+    right_id: Sequence[str],
+    side_rows: int = PAIR_SIDE_ROWS,
+) -> DataFrame:
+    """Inner join where a key may be hot on both sides.
+
+    A key whose pair count exceeds ``side_rows ** 2`` is cut into a grid: left rows
+    into stripes, right rows into stripes, one task-sized cell per pair of stripes.
+    """
+    counts = (
+        key_counts(left.select(on), [on])
+        .withColumnRenamed("_n", "_nl")
+        .join(key_counts(right.select(on), [on]).withColumnRenamed("_n", "_nr"), on)
+        .withColumn("_pairs", F.col("_nl") * F.col("_nr"))
+    )
+    total, top = counts.agg(F.sum("_pairs"), F.max("_pairs")).first()
+    cell = max(side_rows**2, (total or 0) // MAX_HOT)
+    if top is None or top <= cell:
+        return left.join(right, on)
+    side = int(cell**0.5)
+    hot = F.broadcast(
+        counts.filter(F.col("_pairs") > cell).select(
+            on,
+            F.ceil(F.col("_nl") / side).cast("int").alias("_sl"),
+            F.ceil(F.col("_nr") / side).cast("int").alias("_sr"),
+        )
+    )
+    lhs = (
+        left.join(hot, on, "left")
+        .withColumn("_row", _bucket("_sl", left_id))
+        .withColumn("_cell", _replicas("_sr"))
+        .drop("_sl", "_sr")
+    )
+    rhs = (
+        right.join(hot, on, "left")
+        .withColumn("_cell", _bucket("_sr", right_id))
+        .withColumn("_row", _replicas("_sl"))
+        .drop("_sl", "_sr")
+    )
+    return lhs.join(rhs, [on, "_row", "_cell"]).drop("_row", "_cell")
+
+
+def pack_list(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    order: Sequence[str] = (),
+    name: str | None = None,
+    max_items: int = LIST_ITEMS,
+) -> DataFrame:
+    """One sorted list per key, cut into parts of about ``max_items`` for larger keys.
+
+    Returns ``keys, part, <list>``. Keys within the bound have the single part 0, so
+    the usual layout is unchanged; nothing is dropped from larger ones. ``order``
+    columns define the list order (default: the value itself) and must tell equal
+    values apart where copies of a value may be many.
+    """
+    keys = list(keys)
+    hot = hot_keys(key_counts(df.select(*keys), keys), keys, max_items)
+    if hot is None:
+        parted = df.withColumn("part", F.lit(0))
+    else:
+        parted = df.join(F.broadcast(hot), keys, "left").withColumn(
+            "part", _bucket("_salts", [*order, value])
+        )
+    item = F.struct(*[F.col(c) for c in (*order, value)])
+    return parted.groupBy(*keys, "part").agg(
+        F.transform(F.sort_array(F.collect_list(item)), lambda s: s[value]).alias(name or value)
+    )
+
+
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
