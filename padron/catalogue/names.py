@@ -20,6 +20,7 @@ from padron.catalogue.registry import query
 from padron.functions.fuzzy import fuzzy_ratio
 from padron.functions.tax_id import (
     cif_code,
+    correct_id,
     dni_code,
     error_text,
     id_type,
@@ -27,7 +28,6 @@ from padron.functions.tax_id import (
     nie_code,
     normalise_id,
     valid_or_null,
-    with_corrected_id,
 )
 from padron.functions.text import (
     clean_name,
@@ -448,8 +448,7 @@ def q_id_correct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every DNI here starts with a zero: dropping that one can be undone, a wrong letter cannot."""
     key, right = F.col("o_orderkey"), dni_text(F.col("o_orderkey"))
     damaged = F.when(key % 3 == 0, F.substr(right, F.lit(2))).when(key % 3 == 1, right).otherwise(F.concat(F.substring(right, 1, 8), F.lit("ñ")))
-    ids = table(spark, sf_dir, "orders").select("o_orderkey", normalise_id(damaged).alias("written"))
-    return with_corrected_id(ids, "written", "nif").drop("written")
+    return table(spark, sf_dir, "orders").select("o_orderkey", correct_id(normalise_id(damaged)).alias("nif"))
 
 
 @query(

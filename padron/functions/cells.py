@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,15 @@ WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 _LIST_JSON = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
 
 
+def bind(c: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(c)`` with ``c`` worked out once, however often the body uses it.
+
+    Without this a filter pushed below a chain of such bodies would repeat the chain
+    at every use.
+    """
+    return F.get(F.transform(F.array(c), body), 0)
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 

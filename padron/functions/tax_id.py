@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from padron.functions.cells import bind
 from padron.sources.lookups import ENTITY_LETTERS, PROVINCE_CODES
 
 # Control letters, leading letters and result codes.
@@ -112,7 +113,7 @@ def is_valid_id(c: Column) -> Column:
 
 
 def valid_or_null(c: Column) -> Column:
-    return F.when(id_type(c).isNotNull(), c)
+    return bind(c, lambda id_: F.when(id_type(id_).isNotNull(), id_))
 
 
 def with_zero(c: Column) -> Column:
@@ -122,10 +123,9 @@ def with_zero(c: Column) -> Column:
     )
 
 
-def with_corrected_id(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Adds the ID if valid, else its zero-padded form if that is valid, else null."""
-    corrected = F.coalesce(valid_or_null(F.col(column)), valid_or_null(F.col("_padded")))
-    return df.withColumn("_padded", with_zero(F.col(column))).withColumn(name, corrected).drop("_padded")
+def correct_id(c: Column) -> Column:
+    """The ID if valid, else its zero-padded form if that is valid, else null."""
+    return bind(c, lambda id_: F.coalesce(valid_or_null(id_), valid_or_null(with_zero(id_))))
 
 
 def error_text(code: Column, kind: str) -> Column:

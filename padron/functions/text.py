@@ -7,7 +7,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from padron.functions.cells import strip
+from padron.functions.cells import bind, strip
 from padron.functions.legal_forms import remove_legal_form, standardise_legal_form
 
 # Accents folded before consortium matching.
@@ -41,7 +41,9 @@ def squash_space(c: Column) -> Column:
 
 
 def strip_embedded_id(name: Column, id_: Column) -> Column:
-    return F.when(name.isNull() | id_.isNull() | (id_ == ""), name).otherwise(F.replace(name, id_, F.lit("")))
+    """Remove the row's own ID from its name; an unknown or empty ID changes nothing."""
+    # replacing an empty text changes nothing
+    return F.replace(name, F.coalesce(id_, F.lit("")), F.lit(""))
 
 
 def clean_text(c: Column) -> Column:
@@ -54,7 +56,7 @@ def clean_text(c: Column) -> Column:
 def clean_name(c: Column, remove_type: bool = False) -> Column:
     """Name with its legal form standardised (or removed); null or empty gives null."""
     change = remove_legal_form if remove_type else standardise_legal_form
-    return clean_text(change(F.lower(F.when(c != "", c))))
+    return bind(F.lower(c), lambda low: F.when(low != "", clean_text(change(low))))
 
 
 def _ascii_table() -> tuple[str, str, list[tuple[str, str]]]:
@@ -79,15 +81,19 @@ _ASCII_FROM, _ASCII_TO, _ASCII_SEVERAL = _ascii_table()
 
 def to_ascii(c: Column) -> Column:
     """Transliterate lower-case Latin letters; plain ASCII text skips the work."""
-    folded = F.translate(c, _ASCII_FROM, _ASCII_TO)
-    for char, plain in _ASCII_SEVERAL:
-        folded = F.replace(folded, F.lit(char), F.lit(plain))
-    return F.when(c.rlike(r"[^\x00-\x7f]"), folded).otherwise(c)
+
+    def fold(text: Column) -> Column:
+        folded = F.translate(text, _ASCII_FROM, _ASCII_TO)
+        for char, plain in _ASCII_SEVERAL:
+            folded = F.replace(folded, F.lit(char), F.lit(plain))
+        return F.when(text.rlike(r"[^\x00-\x7f]"), folded).otherwise(text)
+
+    return bind(c, fold)
 
 
 def name_key(c: Column) -> Column:
     """Matching key: lower case, ASCII letters, word characters only; null or empty gives null."""
-    return F.regexp_replace(to_ascii(F.lower(F.when(c != "", c))), r"(?U)\W", "")
+    return bind(F.lower(c), lambda low: F.when(low != "", F.regexp_replace(to_ascii(low), r"(?U)\W", "")))
 
 
 def fold_accents(c: Column) -> Column:

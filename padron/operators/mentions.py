@@ -12,6 +12,7 @@ from padron.functions.cells import flag_from_text, pad
 from padron.functions.tax_id import normalise_id, valid_or_null
 from padron.functions.text import clean_name, name_key, squash_space, strip_embedded_id
 from padron.skew import salted_join
+from padron.sources.staging import stage
 
 
 def filter_keyed(df: DataFrame, keys: Sequence[str] = ("ID", "Name")) -> DataFrame:
@@ -94,6 +95,8 @@ def clean_mentions_once(df: DataFrame, salt_by: Sequence[str]) -> DataFrame:
     raw = {"raw_id": F.coalesce("ID", F.lit("")), "raw_name": F.coalesce("Name", F.lit(""))}
     keyed = df.withColumns(raw)
     pairs = keyed.groupBy(*raw).agg(F.count(F.lit(1)).alias("_n"))
-    cleaned = clean_mentions(pairs.select(*raw, F.col("raw_id").alias("ID"), F.col("raw_name").alias("Name")), keep=list(raw))
+    named = pairs.withColumns({"ID": F.col("raw_id"), "Name": F.col("raw_name")})
+    cleaned = stage(clean_mentions(named, keep=list(raw)), "cleaned")
     rest = squash_columns(keyed.drop("ID", "Name"), keep=list(raw))
-    return salted_join(rest, cleaned, list(raw), salt_by=salt_by, counts=pairs).drop(*raw)
+    sizes = cleaned.select(*raw, "_n")
+    return salted_join(rest, cleaned.drop("_n"), list(raw), salt_by=salt_by, counts=sizes).drop(*raw)

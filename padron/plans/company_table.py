@@ -59,8 +59,7 @@ def associations(mentions: DataFrame) -> DataFrame:
         F.max(zone).alias("zone_hi"),
     )
     named = pairs.withColumns({"ID": F.col("raw_id"), "Name": F.col("raw_name")})
-    cleaned = clean_mentions(named, keep=["raw_id", "raw_name", "city_lo", "city_hi", "zone_lo", "zone_hi"])
-    return cleaned.filter(F.col("ID").isNotNull() & F.col("Name_norm").isNotNull())
+    return clean_mentions(named, keep=["raw_id", "raw_name", "city_lo", "city_hi", "zone_lo", "zone_hi"])
 
 
 def _attributes(assigned: DataFrame) -> DataFrame:
@@ -92,7 +91,8 @@ def company_tables(mentions: DataFrame, max_list: int = LIST_ITEMS) -> CompanyTa
 
     Only the first aggregate and the tender lists touch every mention.
     """
-    pairs = stage(associations(mentions), "associations")
+    cleaned = stage(associations(mentions), "associations")
+    pairs = cleaned.filter(F.col("ID").isNotNull() & F.col("Name_norm").isNotNull())
     ids = stage(id_summary(mention_groups(pairs, weight="count")), "ids")
     assigned = stage(
         attach_golden_id(pairs, replaced_ids(ids), ["raw_id", "raw_name"]), "assigned"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from padron.functions.cells import flag_from_letter
-from padron.functions.tax_id import id_type, is_valid_id, normalise_id, valid_or_null, with_corrected_id
+from padron.functions.tax_id import correct_id, id_type, is_valid_id, normalise_id, valid_or_null
 from padron.functions.text import clean_name
 from padron.skew import grid_join, pack_list, salted_join
 
@@ -146,12 +146,12 @@ def match_quality(register: DataFrame, found: DataFrame) -> DataFrame:
     """Register rows by outcome and ID quality, and how many invalid IDs of the missed ones can be corrected."""
     hit = found.select("ID_EMPRESA").distinct().withColumn("_hit", F.lit(True))
     outcome = F.when(F.col("_hit"), F.lit("found")).otherwise(F.lit("not_found"))
-    marked = with_corrected_id(register, "nif", "corrected").join(hit, "ID_EMPRESA", "left").withColumn("outcome", outcome)
+    marked = register.join(hit, "ID_EMPRESA", "left").withColumn("outcome", outcome)
     null_id, valid = F.col("nif").isNull(), F.coalesce("valid_nif", F.lit(False))
     return marked.groupBy("outcome").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(null_id).alias("null_ids"),
         F.count_if(valid).alias("valid_ids"),
         F.count_if(~valid).alias("invalid_ids"),
-        F.count_if(~valid & F.col("corrected").isNotNull()).alias("correctable_ids"),
+        F.count_if(~valid & correct_id(F.col("nif")).isNotNull()).alias("correctable_ids"),
     )
