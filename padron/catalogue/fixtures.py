@@ -253,7 +253,7 @@ consortia AS (
                     WHEN 1 THEN a."Name" || ' s.l. ' || b."Name" || ' s.a.'
                     WHEN 2 THEN a."Name" || ' y ' || b."Name"
                     WHEN 3 THEN 'u.t.e. ' || a."Name" || ', ' || b."Name" || ' ley 18/1982 de 26 de mayo'
-                    WHEN 4 THEN a."Name" || ', s.l.u. - ' || b."Name" || ' s.l.'
+                    WHEN 4 THEN a."Name" || ',s.l.u. - ' || b."Name" || ' s.l.'
                     ELSE a."Name" || ' ' || b."Name" END AS "FullName"
   FROM partners JOIN companies a ON a.k = lo JOIN companies b ON b.k = hi)
 """
@@ -280,7 +280,7 @@ def consortia(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 1, F.concat(a, F.lit(" s.l. "), b, F.lit(" s.a.")))
         .when(kind == 2, F.concat(a, F.lit(" y "), b))
         .when(kind == 3, F.concat(F.lit("u.t.e. "), a, F.lit(", "), b, F.lit(" ley 18/1982 de 26 de mayo")))
-        .when(kind == 4, F.concat(a, F.lit(", s.l.u. - "), b, F.lit(" s.l.")))
+        .when(kind == 4, F.concat(a, F.lit(",s.l.u. - "), b, F.lit(" s.l.")))
         .otherwise(F.concat(a, F.lit(" "), b))
     )
     return partners.join(low, "lo").join(high, "hi").select(
@@ -339,3 +339,32 @@ def known_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
             (c % 2 == 0).alias("isPYME"),
         )
     )
+
+
+# --- similarity ------------------------------------------------------------------------
+
+
+def lcs_sql(a: str, b: str) -> str:
+    """Longest common subsequence, row by row: the last row's last cell."""
+    cells = f"""list_reduce(
+      list_prepend([CAST(0 AS BIGINT)], list_transform(range(1, length({b}) + 1), lambda j: [CAST(j AS BIGINT)])),
+      lambda acc, jj: list_append(acc, CASE WHEN substr({a}, CAST(cur[1] AS BIGINT), 1) = substr({b}, CAST(jj[1] AS BIGINT), 1)
+                                       THEN prev[jj[1]] + 1 ELSE greatest(prev[jj[1] + 1], acc[jj[1]]) END))"""
+    rows = f"""list_reduce(
+      list_prepend(list_transform(range(length({b}) + 1), lambda z: 0),
+                   list_transform(range(1, length({a}) + 1), lambda i: [CAST(i AS BIGINT)])),
+      lambda prev, cur: {cells})"""
+    return f"({rows})[length({b}) + 1]"
+
+
+def ratio_sql(a: str, b: str) -> str:
+    return f"CAST(round_even(200.0 * {lcs_sql(a, b)} / (length({a}) + length({b})), 0) AS INTEGER)"
+
+
+def alike_sql(left: str, right: str) -> str:
+    """Pairs (a, b) of two one-column tables whose ratio exceeds 95, all pairs compared."""
+    return f"""
+      SELECT * FROM (
+        SELECT a, b, {ratio_sql("a", "b")} AS ratio FROM (
+          SELECT a, b FROM {left} JOIN {right} ON abs(length(a) - length(b)) <= 9 * (length(a) + length(b)) // 200
+          WHERE levenshtein(a, b) <= 9 * (length(a) + length(b)) // 200)) WHERE ratio > 95"""

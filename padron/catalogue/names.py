@@ -13,6 +13,7 @@ from padron.catalogue.fixtures import (
     control_number_sql,
     dni_text,
     dni_text_sql,
+    ratio_sql,
     raw_mentions,
     table,
 )
@@ -233,20 +234,11 @@ def q_word_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """
+    f"""
     WITH pairs AS (
       SELECT DISTINCT p_name AS a, p_type || ' ' || p_name AS b FROM part
-      UNION SELECT p_name, p_brand || p_name FROM part),
-    rows_ AS (
-      SELECT a, b, list_reduce(
-        list_prepend(list_transform(range(length(b) + 1), lambda z: 0),
-                     list_transform(range(1, length(a) + 1), lambda i: [CAST(i AS BIGINT)])),
-        lambda prev, cur: list_reduce(
-          list_prepend([CAST(0 AS BIGINT)], list_transform(range(1, length(b) + 1), lambda j: [CAST(j AS BIGINT)])),
-          lambda acc, jj: list_append(acc, CASE WHEN substr(a, CAST(cur[1] AS BIGINT), 1) = substr(b, CAST(jj[1] AS BIGINT), 1)
-                                THEN prev[jj[1]] + 1 ELSE greatest(prev[jj[1] + 1], acc[jj[1]]) END))) AS last_row
-      FROM pairs)
-    SELECT a, b, CAST(round_even(200.0 * last_row[length(b) + 1] / (length(a) + length(b)), 0) AS INTEGER) AS ratio FROM rows_
+      UNION SELECT p_name, p_brand || p_name FROM part)
+    SELECT a, b, {ratio_sql("a", "b")} AS ratio FROM pairs
     """
 )
 def q_fuzzy_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:

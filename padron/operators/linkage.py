@@ -193,7 +193,7 @@ def _character_keys(names: DataFrame, name: str) -> DataFrame:
     table = [(b, i, drop) for b in CHARACTER_CLASSES for i, drop in enumerate(dropped_characters(b))]
     slots = names.sparkSession.createDataFrame(table, "budget int, slot int, dropped string")
     plain = F.regexp_replace(F.col(name), f"[^{CHARACTER_ORDER.replace('-', '')}\\-]", OTHER_CHARACTER)
-    kept = F.translate("_plain", F.col("dropped"), F.lit(""))
+    kept = F.expr("translate(_plain, dropped, '')")
     return (
         names.filter(F.col("budget") < LARGE_BUDGET)
         .withColumn("_plain", plain)
