@@ -35,8 +35,8 @@ def null_array() -> Column:
 
 def fill_missing(c: Column, fill: Column | None = None) -> Column:
     """Replace a null array, or one holding only nulls and "nan", by ``fill`` (default ``[null]``)."""
-    empty = F.coalesce(F.forall(c, is_missing), F.lit(True))
-    return F.when(empty, null_array() if fill is None else fill).otherwise(c)
+    other = null_array() if fill is None else fill
+    return bind(c, lambda a: F.when(F.coalesce(F.forall(a, is_missing), F.lit(True)), other).otherwise(a))
 
 
 def parse_list_text(c: Column) -> Column:
@@ -54,28 +54,36 @@ def _looks_like_list(c: Column) -> Column:
 
 def parse_text_cell(c: Column) -> Column:
     """String cell -> array: null -> ``[null]``, list text -> its items, else one item."""
-    return (
-        F.when(is_missing(c), null_array())
-        .when(_looks_like_list(c), F.coalesce(parse_list_text(c), F.array(c)))
-        .otherwise(F.array(c))
+    return bind(
+        c,
+        lambda t: F.when(is_missing(t), null_array())
+        .when(_looks_like_list(t), F.coalesce(parse_list_text(t), F.array(t)))
+        .otherwise(F.array(t)),
     )
 
 
 def parse_array_cell(c: Column) -> Column:
     """Array cell -> array; a list text as the first item stands for the whole list."""
-    head = F.get(c, 0)
-    return (
-        F.when(head.isNull(), null_array())
-        .when(_looks_like_list(head), F.coalesce(parse_list_text(head), c))
-        .otherwise(c)
-    )
+
+    def parse(a: Column) -> Column:
+        head = F.get(a, 0)
+        return (
+            F.when(head.isNull(), null_array())
+            .when(_looks_like_list(head), F.coalesce(parse_list_text(head), a))
+            .otherwise(a)
+        )
+
+    return bind(c, parse)
 
 
 def tidy_items(c: Column, lower: bool = True) -> Column:
     """Trim (and lower-case) every item; an empty first item makes the whole cell missing."""
-    head = F.coalesce(F.get(c, 0), F.lit(""))
-    items = F.transform(c, lambda x: F.lower(strip(x)) if lower else strip(x))
-    return F.when(head == "", null_array()).otherwise(items)
+
+    def tidy(a: Column) -> Column:
+        items = F.transform(a, lambda x: F.lower(strip(x)) if lower else strip(x))
+        return F.when(F.coalesce(F.get(a, 0), F.lit("")) == "", null_array()).otherwise(items)
+
+    return bind(c, tidy)
 
 
 def list_cell(c: Column, is_array: bool, lower: bool = True) -> Column:

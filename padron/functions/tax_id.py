@@ -56,7 +56,8 @@ def _number_code(digits: Column, control: Column, width: str) -> Column:
 def dni_code(c: Column) -> Column:
     first, middle, control = F.substring(c, 1, 1), F.substring(c, 2, 7), F.substring(c, 9, 1)
     return (
-        F.when(F.length(c) != 9, F.lit(BAD_LENGTH))
+        F.when(c.isNull(), F.lit(None).cast("int"))
+        .when(F.length(c) != 9, F.lit(BAD_LENGTH))
         .when(first.rlike("^[0-9]$"), _number_code(F.substring(c, 1, 8), control, "{8}"))
         .when(~first.isin(*DNI_LETTERS), F.lit(BAD_FIRST))
         .otherwise(_number_code(middle, control, "{7}"))
@@ -67,7 +68,8 @@ def nie_code(c: Column) -> Column:
     first, middle, control = F.substring(c, 1, 1), F.substring(c, 2, 7), F.substring(c, 9, 1)
     digits = F.concat(F.translate(first, NIE_LETTERS, "012"), middle)
     return (
-        F.when(F.length(c) != 9, F.lit(BAD_LENGTH))
+        F.when(c.isNull(), F.lit(None).cast("int"))
+        .when(F.length(c) != 9, F.lit(BAD_LENGTH))
         .when(~first.isin(*NIE_LETTERS), F.lit(BAD_FIRST))
         .otherwise(_number_code(digits, control, "{8}"))
     )
@@ -93,7 +95,8 @@ def cif_code(c: Column) -> Column:
     is_digit = control.between("0", "9")
     fits = (F.instr(allowed, control) > 0) & ~(letter_only & is_digit) & ~(digit_only & ~is_digit)
     return (
-        F.when(F.length(c) != 9, F.lit(BAD_LENGTH))
+        F.when(c.isNull(), F.lit(None).cast("int"))
+        .when(F.length(c) != 9, F.lit(BAD_LENGTH))
         .when(~digits.rlike("^[0-9]{7}$") | (digits == "0000000"), F.lit(BAD_DIGITS))
         .when(~letter.isin([row[0] for row in ENTITY_LETTERS]), F.lit(BAD_FIRST))
         .when(~province.isin([code for codes, _ in PROVINCE_CODES for code in codes.split(",")]), F.lit(BAD_PROVINCE))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from padron.functions.cells import flag_from_text, pad
+from padron.functions.cells import bind, flag_from_text, pad
 from padron.functions.tax_id import normalise_id, valid_or_null
 from padron.functions.text import clean_name, name_key, squash_space, strip_embedded_id
 from padron.skew import salted_join
@@ -24,7 +24,7 @@ def filter_keyed(df: DataFrame, keys: Sequence[str] = ("ID", "Name")) -> DataFra
 
 
 def _known_size(c: Column) -> Column:
-    return F.when(F.coalesce(F.get(c, 0), F.lit("")) != "", F.size(c))
+    return bind(c, lambda a: F.when(F.coalesce(F.get(a, 0), F.lit("")) != "", F.size(a)))
 
 
 def filter_aligned(df: DataFrame, lists: Sequence[str]) -> DataFrame:

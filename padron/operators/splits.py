@@ -8,10 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from padron.functions.cells import strip
+from padron.functions.cells import bind, strip
 from padron.functions.text import strip_boilerplate, word_difference, word_ngrams, words
 from padron.skew import salted_join
 from padron.sources.lookups import ENTITY_LETTERS
+from padron.sources.staging import stage
 
 # Spellings of legal forms that end a member's name.
 EXTRA_MARKERS = [
@@ -54,24 +55,25 @@ def _tidy(pieces: Column) -> Column:
 
 def rule_pieces(text: Column, marker: str) -> Column:
     """Pieces by the written rules; null when none applies and a dictionary must decide."""
-    protected = text.rlike(r"[a-zA-Z] - \d+ \S+") | text.rlike(r"(?U)\b\w+\b [a-zA-Z] - \d+")
+    protected = text.rlike(r"[a-zA-Z] - \d+ \S+|(?U:\b\w+\b) [a-zA-Z] - \d+")
+    # a delimiter right before a marker belongs to the marker
+    joined = F.regexp_replace(text, rf"{DELIMITERS}(?={marker})", " ")
+    return F.when(protected, F.array(text)).otherwise(bind(joined, lambda t: _split_by_rules(t, marker)))
+
+
+def _split_by_rules(text: Column, marker: str) -> Column:
     marked = text.rlike(marker)
-    joined = F.when(marked, F.regexp_replace(text, rf"{DELIMITERS}(?={marker})", " ")).otherwise(text)
-    one_at_end = joined.rlike(f"{marker}$") & (F.size(F.regexp_extract_all(joined, F.lit(f"({marker})"), F.lit(1))) == 1)
-    delimited = joined.rlike(DELIMITERS)
-    conjoined = joined.rlike(r"(?U)\s+y\s+")
-    by_delimiter = F.split(joined, DELIMITERS)
-    by_conjunction = F.split(joined, r"(?U)\s+y\s+")
-    return (
-        F.when(protected, F.array(text))
-        .when(one_at_end & delimited, by_delimiter)
-        .when(one_at_end & conjoined, by_conjunction)
-        .when(one_at_end, F.array(joined))
-        .when(marked & delimited, F.flatten(F.transform(by_delimiter, lambda p: _cut_after(p, marker))))
-        .when(marked, _cut_after(joined, marker))
-        .when(delimited, F.split(joined, rf"(?U){DELIMITERS}|\s+y\s+"))
-        .when(conjoined, by_conjunction)
+    one_at_end = text.rlike(f"^(?:(?!{marker}).)*{marker}$")
+    delimited = text.rlike(DELIMITERS)
+    conjoined = text.rlike(r"(?U)\s+y\s+")
+    by_delimiter = F.split(text, DELIMITERS)
+    by_conjunction = F.split(text, r"(?U)\s+y\s+")
+    at_end = F.when(delimited, by_delimiter).when(conjoined, by_conjunction).otherwise(F.array(text))
+    inside = F.when(delimited, F.flatten(F.transform(by_delimiter, lambda p: _cut_after(p, marker)))).otherwise(
+        _cut_after(text, marker)
     )
+    unmarked = F.when(delimited, F.split(text, rf"(?U){DELIMITERS}|\s+y\s+")).when(conjoined, by_conjunction)
+    return F.when(one_at_end, at_end).when(marked, inside).otherwise(unmarked)
 
 
 def dictionary_hits(names: DataFrame, text: str, dictionary: DataFrame, known: str) -> DataFrame:
@@ -107,6 +109,7 @@ def split_consortium(
     )
     if dictionary is None:
         return ruled.select(name, _tidy(F.coalesce("_pieces", F.array("_text"))).alias("pieces"))
+    ruled = stage(ruled, "ruled")
     open_names = ruled.filter(F.col("_pieces").isNull()).select(name, "_text")
     # a name's hits are n-grams of that one name, so the list is bounded by its own words
     hits = (

@@ -15,12 +15,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     cluster a machine-local folder would be lost with its executor, so a missing
     setting is an error there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="padron-stage-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="padron-stage-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 
