@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from itertools import combinations
+from itertools import combinations, pairwise
+from zlib import crc32
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from padron.functions.fuzzy import beats, edit_budget, lcs, ratio_from_lcs
 from padron.functions.text import TOKEN_SEPARATORS, fold_accents, is_digits
@@ -202,6 +205,18 @@ def _character_keys(names: DataFrame, name: str) -> DataFrame:
     )
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _pair_slices(names: pd.Series, budgets: pd.Series) -> pd.Series:
+    """Adjacent character pairs of a name dealt into ``4 * budget`` classes, in order within each."""
+    out = []
+    for name, budget in zip(names, budgets):
+        slices = [""] * (4 * budget)
+        for a, b in pairwise(name):
+            slices[crc32((a + b).encode()) % len(slices)] += a + b
+        out.append(slices)
+    return pd.Series(out)
+
+
 def _pair_keys(names: DataFrame, name: str) -> DataFrame:
     """Keys for larger budgets: the adjacent character pairs of one class, in order.
 
@@ -209,22 +224,12 @@ def _pair_keys(names: DataFrame, name: str) -> DataFrame:
     least k stay untouched. A name with fewer than k empty classes needs no key for
     them: one of its untouched classes holds something.
     """
-    chars = F.split(name, "")
-    pairs = F.transform(F.sequence(F.lit(0), F.size("_c") - 2), lambda i: F.concat(F.get("_c", i), F.get("_c", i + 1)))
-    classes = F.col("budget") * 4
-    sliced = F.transform(
-        F.sequence(F.lit(0), classes - 1),
-        lambda g: F.filter("_p", lambda p: F.pmod(F.xxhash64(p), classes) == g),
-    )
-    empty = F.size(F.filter("_slices", lambda s: F.size(s) == 0))
+    empty = F.size(F.filter("_slices", lambda s: s == ""))
     return (
         names.filter(F.col("budget") >= LARGE_BUDGET)
-        .withColumn("_c", chars)
-        .withColumn("_p", pairs)
-        .withColumn("_slices", sliced)
-        .withColumn("_empty", empty)
-        .select(name, "budget", "_empty", F.posexplode("_slices").alias("slot", "_s"))
-        .filter((F.size("_s") > 0) | (F.col("_empty") >= F.col("budget")))
+        .withColumn("_slices", _pair_slices(name, "budget"))
+        .select(name, "budget", empty.alias("_empty"), F.posexplode("_slices").alias("slot", "_s"))
+        .filter((F.col("_s") != "") | (F.col("_empty") >= F.col("budget")))
         .select(name, F.xxhash64("budget", "slot", "_s").alias("key"))
     )
 
@@ -257,9 +262,10 @@ def fuzzy_join(
     met = grid_join(fuzzy_keys(a, "_a", threshold), fuzzy_keys(b, "_b", threshold), "key", ["_a"], ["_b"], side_rows)
     total = F.length("_a") + F.length("_b")
     budget = edit_budget(total, threshold)
+    # a pair can share many keys: compare its texts once
+    candidates = met.filter(F.abs(F.length("_a") - F.length("_b")) <= budget).select("_a", "_b").distinct()
     # Levenshtein distance never exceeds the count of insertions and deletions
-    near = (F.abs(F.length("_a") - F.length("_b")) <= budget) & (F.levenshtein("_a", "_b") <= budget)
-    pairs = met.filter(near).select("_a", "_b").distinct().withColumn("_lcs", lcs("_a", "_b"))
+    pairs = candidates.filter(F.levenshtein("_a", "_b") <= budget).withColumn("_lcs", lcs("_a", "_b"))
     return pairs.filter(beats(F.col("_lcs"), total, threshold)).select(
         F.col("_a").alias(left_name), F.col("_b").alias(right_name), ratio_from_lcs(F.col("_lcs"), total).alias("ratio")
     )

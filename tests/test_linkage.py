@@ -40,16 +40,16 @@ BASES = [
     "servicios integrales de limpieza y mantenimiento del norte s.l.",
     "ñandú 2000, s.l.",
     "agrupación de interés económico para la gestión del agua y los residuos urbanos de la comarca central a.i.e.",
-    "sociedad estatal de infraestructuras " * 4,
+    "sociedad estatal de infraestructuras " * 3,
     "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa",
-    "ab" * 60,
+    "ab" * 50,
 ]
-LONG = ["suministros y montajes eléctricos del noroeste peninsular " * 5, "x1y2z3w4 " * 30]
+LONG = ["suministros y montajes eléctricos del noroeste peninsular " * 3, "x1y2z3w4 " * 20]
 
 
 def damages(name):
     out = {name}
-    for at in range(0, len(name), max(1, len(name) // 5)):
+    for at in range(0, len(name), max(1, len(name) // 3)):
         for kind in range(4):
             once = damaged(name, at, kind)
             out |= {once, damaged(once, at * 7 + 3, (kind + 1) % 4)}
@@ -82,7 +82,7 @@ word = st.sampled_from(["acme", "obras", "s.l.", "y", "-", "ñu", "2", "(acme)",
 phrase = st.lists(word, min_size=1, max_size=5).map(" ".join)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(phrase, min_size=1, max_size=12), st.lists(phrase, min_size=1, max_size=12))
 def test_containment_equals_regex(spark, companies, consortia):
     companies = [*companies, "acme s.l.", "-", "+", ""]
@@ -95,7 +95,7 @@ def test_containment_equals_regex(spark, companies, consortia):
 
 
 def test_token_overlap(spark):
-    stops = frame(spark, ["Fundación", "garcia"], "term")
+    stops = frame(spark, ["fundación", "garcia"], "term")
     names = frame(spark, ["garcia obras sl", "fundacion agua", "solo", "agua 2020 xyz", "sccl norte"], "company")
     tokens = linkage.distinctive_tokens(names, "company", stops)
     assert rows(tokens, "company", "token") == [
