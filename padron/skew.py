@@ -61,7 +61,11 @@ def salted_join(
     ``salt_by`` must tell the rows of one key apart (default: every column).
     """
     on = list(on)
-    hot = hot_keys(counts if counts is not None else key_counts(big.select(*on), on), on, rows_per_task)
+    if counts is None:
+        if big.count() <= rows_per_task:
+            return big.join(small, on, how)
+        counts = key_counts(big.select(*on), on)
+    hot = hot_keys(counts, on, rows_per_task)
     if hot is None:
         return big.join(small, on, how)
     hot = F.broadcast(hot)
