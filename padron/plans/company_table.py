@@ -47,16 +47,17 @@ def associations(mentions: DataFrame) -> DataFrame:
 
     Names are cleaned here, once per distinct pair instead of once per mention.
     """
-    known = mentions.filter(F.col("ID").isNotNull() & F.col("Name").isNotNull())
-    city, zone = squash_space(F.col("CityName")), squash_space(F.col("PostalZone"))
+    known = mentions.filter(F.col("ID").isNotNull() & F.col("Name").isNotNull()).withColumns(
+        {"_city": squash_space(F.col("CityName")), "_zone": squash_space(F.col("PostalZone"))}
+    )
     pairs = known.groupBy(F.col("ID").alias("raw_id"), F.col("Name").alias("raw_name")).agg(
         F.count(F.lit(1)).alias("count"),
         F.min("ord").alias("ord"),
         F.bool_and(F.coalesce("SMEAwardedIndicator", F.lit(False))).alias("isPYME"),
-        F.min(city).alias("city_lo"),
-        F.max(city).alias("city_hi"),
-        F.min(zone).alias("zone_lo"),
-        F.max(zone).alias("zone_hi"),
+        F.min("_city").alias("city_lo"),
+        F.max("_city").alias("city_hi"),
+        F.min("_zone").alias("zone_lo"),
+        F.max("_zone").alias("zone_hi"),
     )
     named = pairs.withColumns({"ID": F.col("raw_id"), "Name": F.col("raw_name")})
     return clean_mentions(named, keep=["raw_id", "raw_name", "city_lo", "city_hi", "zone_lo", "zone_hi"])
@@ -119,7 +120,9 @@ def tender_lists(mentions: DataFrame, assigned: DataFrame, max_list: int = LIST_
     sizes = assigned.select(*keys, F.col("count").alias("_n"))
     linked = salted_join(rows, own, keys, salt_by=["ord"], counts=sizes)
     squashed = linked.withColumn("id_tender", squash_space(F.col("id_tender")))
-    return pack_list(squashed, ["NIF"], "id_tender", order=["ID", "Name_norm", "ord"], max_items=max_list)
+    owned = assigned.groupBy(F.col("golden_id").alias("NIF")).agg(F.sum("count").alias("_n"))
+    order = ["ID", "Name_norm", "ord"]
+    return pack_list(squashed, ["NIF"], "id_tender", order=order, max_items=max_list, counts=owned)
 
 
 def used_name_rows(assigned: DataFrame) -> DataFrame:

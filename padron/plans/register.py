@@ -11,6 +11,7 @@ from padron.functions.cells import flag_from_letter
 from padron.functions.tax_id import correct_id, id_type, is_valid_id, normalise_id, valid_or_null
 from padron.functions.text import clean_name
 from padron.skew import grid_join, pack_list, salted_join
+from padron.sources.staging import stage
 
 ATTRIBUTES = ["nif", "company", "NameProposed", "isPYME", "UTE"]
 
@@ -107,9 +108,9 @@ def link_register(register: DataFrame, companies: DataFrame) -> RegisterLinks:
 
     ``companies``: nif, UsedNames (array), NameProposed, isPYME.
     """
-    by_id = found_by_id(register, companies)
+    by_id = stage(found_by_id(register, companies), "found-by-id")
     rest = register.join(by_id.select("ID_EMPRESA").distinct(), "ID_EMPRESA", "left_anti")
-    by_alias = found_by_alias(rest, companies)
+    by_alias = stage(found_by_alias(rest, companies), "found-by-alias")
     values = by_id.withColumn("tier", F.lit("id")).unionByName(by_alias.withColumn("tier", F.lit("alias")))
     found = values.select("ID_EMPRESA").distinct()
     return RegisterLinks(values, found, register.join(found, "ID_EMPRESA", "left_anti"))

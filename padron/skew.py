@@ -127,16 +127,18 @@ def pack_list(
     order: Sequence[str] = (),
     name: str | None = None,
     max_items: int = LIST_ITEMS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """One sorted list per key, cut into parts of about ``max_items`` for larger keys.
 
     Returns ``keys, part, <list>``. Keys within the bound have the single part 0, so
     the usual layout is unchanged; nothing is dropped from larger ones. ``order``
     columns define the list order (default: the value itself) and must tell equal
-    values apart where copies of a value may be many.
+    values apart where copies of a value may be many. ``counts`` (keys, ``_n``) saves a
+    pass over the data where the sizes are known.
     """
     keys = list(keys)
-    hot = hot_keys(key_counts(df.select(*keys), keys), keys, max_items)
+    hot = hot_keys(key_counts(df.select(*keys), keys) if counts is None else counts, keys, max_items)
     if hot is None:
         parted = df.withColumn("part", F.lit(0))
     else:
