@@ -13,7 +13,6 @@ from padron.functions.cells import fill_missing, flag_from_letter, parse_text_ce
 from padron.functions.text import leading_segment
 from padron.operators.mentions import (
     decode_flag,
-    explode_lists,
     filter_aligned,
     filter_keyed,
     pad_lists,

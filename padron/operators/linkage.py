@@ -6,7 +6,7 @@ the predicate implies, joins on those keys, and checks the predicate on what is
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from functools import reduce
 from itertools import combinations, pairwise
 from zlib import crc32

@@ -6,7 +6,6 @@ import pytest
 from helpers import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from padron.functions.fuzzy import lcs_length
 from padron.operators import linkage
