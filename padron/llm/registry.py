@@ -1,0 +1,25 @@
+"""Registered queries of this subpackage and, where SQL can state them, their counterparts."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(fn: Query) -> Query:
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            ORACLES[fn.__name__] = sql
+        return fn
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
