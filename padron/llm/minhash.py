@@ -9,11 +9,16 @@ chance of equal registers at the Jaccard similarity for short documents too.
 1. Equal sets collapse to their smallest doc_id, so copies are never paired.
 2. Four registers form a band. Forty bands miss a pair of similarity 0.75 with
    probability (1 - 0.75**4) ** 40 = 2.5e-7.
-3. Each band value has a hub, its smallest document. A member is first checked with the
-   hub whose registers agree best, then with its other hubs, and then with every member
-   of its buckets that is still in another component. Members already connected need no
-   more checks, so a large group of near copies costs about one check for each member.
-4. Every check passes the collision-corrected register estimate and then compares the
+3. Each band value has a hub, its smallest document. A document is first checked with the
+   hub it shares most bands with.
+4. Buckets that still hold several components are looked at again. A shingle that no
+   other document in them has cannot be shared, so the number of such shingles bounds a
+   pair's similarity; what remains below 0.75 needs no check. Of each component in a
+   bucket the document with the fewest such shingles is checked with the bucket's best.
+5. Then every pair of a bucket that is still in two components and within the bound is
+   checked. Members already connected need no more checks, so a large group of near
+   copies costs a few checks for each member, and no link between components is lost.
+6. Every check passes the collision-corrected register estimate and then compares the
    full shingle sets, exactly.
 """
 
@@ -37,8 +42,8 @@ BANDS, ROWS = 40, 4
 SIMILARITY_PERCENT = 75
 #: Sets below this size have too few independent registers to be judged by them.
 ESTIMATE_FROM = 64
-#: Nine standard deviations of the register share below the limit of 0.75.
-ESTIMATE_MARGIN = 0.25
+#: Five standard deviations of the share of 256 equal registers at 0.75.
+ESTIMATE_MARGIN = 0.135
 #: Registers of different minima agree when zeros (about 1 in 3) and mantissa agree.
 COLLISION = 1 / 3 / 2**MANTISSA_BITS
 
@@ -157,23 +162,21 @@ def _estimate(a: Column, b: Column) -> Column:
 
 
 def _estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs whose registers allow the similarity, with the estimate."""
+    """Pairs whose sizes and registers allow the similarity."""
     side = lambda c: sketches.select(F.col("doc_id").alias(c), F.col("registers").alias(f"r_{c}"), F.col("n_shingles").alias(f"n_{c}"))
-    limit = SIMILARITY_PERCENT / 100
-    return (
-        pairs.join(side("a"), "a")
-        .join(side("b"), "b")
-        .filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILARITY_PERCENT)
-        .select("a", "b", "n_a", "n_b", _estimate(F.col("r_a"), F.col("r_b")).alias("estimate"))
-        .filter((F.least("n_a", "n_b") < ESTIMATE_FROM) | (F.col("estimate") >= limit - ESTIMATE_MARGIN))
-    )
+    close = _estimate(F.col("r_a"), F.col("r_b")) >= SIMILARITY_PERCENT / 100 - ESTIMATE_MARGIN
+    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILARITY_PERCENT
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.filter(sizes & ((F.least("n_a", "n_b") < ESTIMATE_FROM) | close)).select("a", "b").distinct()
+
 
+def _grams_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, grams of the documents whose id is in ``ids``."""
+    return stage(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, grams array<long>"), "sets")
 
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs whose full shingle sets reach the similarity."""
-    pairs = stage(pairs.select("a", "b"), "checks")
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = stage(docs.join(needed, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, grams array<long>"), "sets")
     both = (
         pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("g_a")), "a")
         .join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("g_b")), "b")
@@ -183,15 +186,24 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.filter(F.col("n") * 100 >= union * SIMILARITY_PERCENT).select("a", "b").distinct()
 
 
+def _bounded(n_a: str, solo_a: str, n_b: str, solo_b: str) -> Column:
+    """Whether the shingles that others have too allow the similarity."""
+    most = F.least(F.col(n_a) - F.col(solo_a), F.col(n_b) - F.col(solo_b))
+    return most * 100 >= (F.col(n_a) + F.col(n_b) - most) * SIMILARITY_PERCENT
+
+
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (with component ``c``) of the buckets that hold several components."""
+    labelled = _labelled(members, labels, "doc_id", "c")
+    several = labelled.groupBy("band").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 <> c1")
+    return labelled.join(several.select("band"), "band", "left_semi")
+
+
 def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
     found = labels.select(F.col("node").alias(node), F.col("component").alias(name))
     return df.join(found, node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    return _labelled(_labelled(pairs, labels, "a", "c_a"), labels, "b", "c_b").filter("c_a <> c_b")
-
-
 def link_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``documents(doc_id, text, ...)``.
 
@@ -210,27 +222,33 @@ def link_duplicates(documents: DataFrame) -> DataFrame:
     hubs = bands.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = stage(bands.join(hubs, "band").select("band", "doc_id", "n_shingles", "hub"), "members")
 
-    pairs = members.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    pairs = stage(_estimated(pairs, sketches), "candidates")
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a"))
-    links = _confirmed(best, docs)
-    labels = components(links)
-
-    rest = _apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), labels)
-    labels = components(_links(labels).union(_confirmed(rest, docs)))
-
-    members = _labelled(members.withColumnRenamed("doc_id", "b"), labels, "b", "c")
-    mixed = members.groupBy("band").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 <> c1").select("band")
-    mixed = stage(members.join(mixed, "band", "left_semi"), "mixed")
-    other = mixed.select("band", F.col("b").alias("a"), F.col("n_shingles").alias("n"), F.col("c").alias("c_a"))
-    more = (
-        mixed.join(other, "band")
-        .filter((F.col("a") < F.col("b")) & (F.col("c") != F.col("c_a")) & (F.col("a") != F.col("hub")))
-        .filter(F.least("n", "n_shingles") * 100 >= F.greatest("n", "n_shingles") * SIMILARITY_PERCENT)
-        .select("a", "b")
-        .distinct()
-    )
-    labels = components(_links(labels).union(_confirmed(_estimated(more, sketches), docs)))
+    shared = members.filter("hub < doc_id").groupBy("doc_id", "hub").agg(F.count(F.lit(1)).alias("bands"))
+    nearest = shared.groupBy(F.col("doc_id").alias("b")).agg(F.max_by("hub", F.struct("bands", -F.col("hub"))).alias("a"))
+    pairs = stage(_estimated(nearest, sketches), "nearest")
+    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    labels = components(_confirmed(pairs, _grams_of(docs, ends)))
+
+    mixed = stage(_mixed(members.drop("hub"), labels).drop("c"), "mixed")
+    sets = _grams_of(docs, mixed.select("doc_id").distinct())
+    owners = sets.select("doc_id", F.explode("grams").alias("gram")).groupBy("gram").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"))
+    solo = owners.filter("n = 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("solo"))
+    mixed = mixed.join(solo, "doc_id", "left").withColumn("solo", F.coalesce("solo", F.lit(0)))
+    mixed = stage(mixed.filter((F.col("n_shingles") - F.col("solo")) * 100 >= F.col("n_shingles") * SIMILARITY_PERCENT), "open")
+
+    open_ = _mixed(mixed, labels)
+    least = F.struct((F.col("solo") / F.col("n_shingles")).alias("share"), "doc_id", "n_shingles", "solo", "c")
+    each = stage(open_.groupBy("band", "c").agg(F.min(least).alias("x")).select("band", "x"), "each")
+    pairs = each.join(each.groupBy("band").agg(F.min("x").alias("hub")), "band").filter("x.c <> hub.c")
+    pairs = pairs.filter(_bounded("x.n_shingles", "x.solo", "hub.n_shingles", "hub.solo"))
+    pairs = pairs.select(F.col("hub.doc_id").alias("a"), F.col("x.doc_id").alias("b")).distinct()
+    labels = components(_links(labels).union(_confirmed(_estimated(pairs, sketches), sets)))
+
+    open_ = stage(_mixed(mixed, labels), "apart")
+    other = open_.select("band", F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("solo").alias("solo_a"), F.col("c").alias("c_a"))
+    apart = (F.col("a") < F.col("doc_id")) & (F.col("c") != F.col("c_a"))
+    pairs = open_.join(other, "band").filter(apart & _bounded("n_a", "solo_a", "n_shingles", "solo"))
+    pairs = pairs.select("a", F.col("doc_id").alias("b")).distinct()
+    labels = components(_links(labels).union(_confirmed(_estimated(pairs, sketches), sets)))
 
     return (
         rows.select("doc_id", *KEYS)
