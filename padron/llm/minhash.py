@@ -11,15 +11,15 @@ chance of equal registers at the Jaccard similarity for short documents too.
    probability (1 - 0.75**4) ** 40 = 2.5e-7.
 3. Each band value has a hub, its smallest document. A document is first checked with the
    hub it shares most bands with.
-4. Buckets that still hold several components are looked at again. A shingle that no
-   other document in them has cannot be shared, so the number of such shingles bounds a
-   pair's similarity; what remains below 0.75 needs no check. Of each component in a
-   bucket the document with the fewest such shingles is checked with the bucket's best.
-5. Then every pair of a bucket that is still in two components and within the bound is
-   checked. Members already connected need no more checks, so a large group of near
-   copies costs a few checks for each member, and no link between components is lost.
-6. Every check passes the collision-corrected register estimate and then compares the
-   full shingle sets, exactly.
+4. Buckets that still hold several components get a new hub: the document with the fewest
+   shingles that no other document there has. Every member is compared with it.
+5. Then pairs of a bucket that are still in two components are checked, if they can be
+   similar: two documents share at most what both share with the hub, and of the rest
+   only shingles that some other document has. Members already connected need no more
+   checks, so a large group of near copies costs a few checks for each member, and no
+   link between components is lost.
+6. The checks of 3 and 5 first pass the collision-corrected register estimate. All compare
+   the full shingle sets, exactly.
 """
 
 from __future__ import annotations
@@ -50,7 +50,8 @@ COLLISION = 1 / 3 / 2**MANTISSA_BITS
 _ATTEMPTS = 512
 _BORROW = np.random.default_rng(77).integers(0, BUCKETS, (_ATTEMPTS, BUCKETS))
 
-SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, registers array<short>"
+SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"
+SETS = "doc_id long, grams array<long>, registers array<short>"
 KEYS = ["n_shingles", "k1", "k2"]
 
 
@@ -139,9 +140,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(k1.view(np.int64)),
                     pa.array(k2.view(np.int64)),
                     _lists(band_values(codes).view(np.int64), BANDS, pa.int64()),
-                    _lists(codes.view(np.int16), BUCKETS, pa.int16()),
                 ],
-                ["doc_id", "n_shingles", "k1", "k2", "bands", "registers"],
+                ["doc_id", "n_shingles", "k1", "k2", "bands"],
             )
 
 
@@ -153,7 +153,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row, found = shingles(words)
             edges = np.searchsorted(row, np.arange(words.rows + 1)).astype(np.int32)
             grams = pa.ListArray.from_arrays(edges, pa.array(found.view(np.int64)))
-            yield pa.record_batch([ids.slice(start, end - start), grams], ["doc_id", "grams"])
+            codes = _lists(registers(words.rows, row, found).view(np.int16), BUCKETS, pa.int16())
+            yield pa.record_batch([ids.slice(start, end - start), grams, codes], ["doc_id", "grams", "registers"])
 
 
 def _estimate(a: Column, b: Column) -> Column:
@@ -161,35 +162,27 @@ def _estimate(a: Column, b: Column) -> Column:
     return (same / BUCKETS - COLLISION) / (1 - COLLISION)
 
 
-def _estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs whose sizes and registers allow the similarity."""
-    side = lambda c: sketches.select(F.col("doc_id").alias(c), F.col("registers").alias(f"r_{c}"), F.col("n_shingles").alias(f"n_{c}"))
-    close = _estimate(F.col("r_a"), F.col("r_b")) >= SIMILARITY_PERCENT / 100 - ESTIMATE_MARGIN
-    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILARITY_PERCENT
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.filter(sizes & ((F.least("n_a", "n_b") < ESTIMATE_FROM) | close)).select("a", "b").distinct()
-
-
-def _grams_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id, grams of the documents whose id is in ``ids``."""
-    return stage(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, grams array<long>"), "sets")
+def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, grams, registers of the documents whose id is in ``ids``."""
+    return stage(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, SETS), "sets")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose full shingle sets reach the similarity."""
-    both = (
-        pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("g_a")), "a")
-        .join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("g_b")), "b")
-        .select("a", "b", F.size("g_a").alias("n_a"), F.size("g_b").alias("n_b"), F.size(F.array_intersect("g_a", "g_b")).alias("n"))
-    )
-    union = F.col("n_a") + F.col("n_b") - F.col("n")
-    return both.filter(F.col("n") * 100 >= union * SIMILARITY_PERCENT).select("a", "b").distinct()
+def _compared(pairs: DataFrame, sets: DataFrame, estimated: bool = True) -> DataFrame:
+    """a, b, n (shared shingles), linked for pairs; with ``estimated`` only for those whose
+    sizes and registers allow the similarity."""
+    side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("grams").alias(f"g_{c}"), F.col("registers").alias(f"r_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    n_a, n_b = F.size("g_a"), F.size("g_b")
+    if estimated:
+        close = _estimate(F.col("r_a"), F.col("r_b")) >= SIMILARITY_PERCENT / 100 - ESTIMATE_MARGIN
+        sizes = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * SIMILARITY_PERCENT
+        both = both.filter(sizes & ((F.least(n_a, n_b) < ESTIMATE_FROM) | close))
+    counted = both.select("a", "b", n_a.alias("n_a"), n_b.alias("n_b"), F.size(F.array_intersect("g_a", "g_b")).alias("n"))
+    return counted.withColumn("linked", F.col("n") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("n")) * SIMILARITY_PERCENT)
 
 
-def _bounded(n_a: str, solo_a: str, n_b: str, solo_b: str) -> Column:
-    """Whether the shingles that others have too allow the similarity."""
-    most = F.least(F.col(n_a) - F.col(solo_a), F.col(n_b) - F.col(solo_b))
-    return most * 100 >= (F.col(n_a) + F.col(n_b) - most) * SIMILARITY_PERCENT
+def _linked(compared: DataFrame) -> DataFrame:
+    return compared.filter("linked").select("a", "b")
 
 
 def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -216,39 +209,41 @@ def link_duplicates(documents: DataFrame) -> DataFrame:
     known = rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
     classes = stage(known.groupBy(*KEYS).agg(F.min("doc_id").alias("node")), "classes")
     sketches = known.join(classes.withColumnRenamed("node", "doc_id"), ["doc_id", *KEYS], "left_semi")
-    sketches = stage(sketches, "representatives")
+    sketches = stage(sketches.select("doc_id", "n_shingles", "bands"), "representatives")
 
     bands = sketches.select("doc_id", "n_shingles", F.explode("bands").alias("band"))
     hubs = bands.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = stage(bands.join(hubs, "band").select("band", "doc_id", "n_shingles", "hub"), "members")
 
     shared = members.filter("hub < doc_id").groupBy("doc_id", "hub").agg(F.count(F.lit(1)).alias("bands"))
-    nearest = shared.groupBy(F.col("doc_id").alias("b")).agg(F.max_by("hub", F.struct("bands", -F.col("hub"))).alias("a"))
-    pairs = stage(_estimated(nearest, sketches), "nearest")
+    pairs = shared.groupBy(F.col("doc_id").alias("b")).agg(F.max_by("hub", F.struct("bands", -F.col("hub"))).alias("a"))
+    pairs = stage(pairs.select("a", "b"), "nearest")
     ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    labels = components(_confirmed(pairs, _grams_of(docs, ends)))
+    labels = components(_linked(_compared(pairs, _sets_of(docs, ends))))
 
-    mixed = stage(_mixed(members.drop("hub"), labels).drop("c"), "mixed")
-    sets = _grams_of(docs, mixed.select("doc_id").distinct())
+    mixed = stage(_mixed(members.drop("hub"), labels), "mixed")
+    sets = _sets_of(docs, mixed.select("doc_id").distinct())
     owners = sets.select("doc_id", F.explode("grams").alias("gram")).groupBy("gram").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"))
     solo = owners.filter("n = 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("solo"))
-    mixed = mixed.join(solo, "doc_id", "left").withColumn("solo", F.coalesce("solo", F.lit(0)))
-    mixed = stage(mixed.filter((F.col("n_shingles") - F.col("solo")) * 100 >= F.col("n_shingles") * SIMILARITY_PERCENT), "open")
-
-    open_ = _mixed(mixed, labels)
-    least = F.struct((F.col("solo") / F.col("n_shingles")).alias("share"), "doc_id", "n_shingles", "solo", "c")
-    each = stage(open_.groupBy("band", "c").agg(F.min(least).alias("x")).select("band", "x"), "each")
-    pairs = each.join(each.groupBy("band").agg(F.min("x").alias("hub")), "band").filter("x.c <> hub.c")
-    pairs = pairs.filter(_bounded("x.n_shingles", "x.solo", "hub.n_shingles", "hub.solo"))
-    pairs = pairs.select(F.col("hub.doc_id").alias("a"), F.col("x.doc_id").alias("b")).distinct()
-    labels = components(_links(labels).union(_confirmed(_estimated(pairs, sketches), sets)))
-
-    open_ = stage(_mixed(mixed, labels), "apart")
-    other = open_.select("band", F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("solo").alias("solo_a"), F.col("c").alias("c_a"))
-    apart = (F.col("a") < F.col("doc_id")) & (F.col("c") != F.col("c_a"))
-    pairs = open_.join(other, "band").filter(apart & _bounded("n_a", "solo_a", "n_shingles", "solo"))
-    pairs = pairs.select("a", F.col("doc_id").alias("b")).distinct()
-    labels = components(_links(labels).union(_confirmed(_estimated(pairs, sketches), sets)))
+    mixed = mixed.join(solo, "doc_id", "left").withColumn("common", F.col("n_shingles") - F.coalesce("solo", F.lit(0)))
+    # a document that shares less than the limit with all others together has no link
+    mixed = mixed.filter(F.col("common") * 100 >= F.col("n_shingles") * SIMILARITY_PERCENT).drop("solo")
+    best = F.min_by("doc_id", F.struct(1 - F.col("common") / F.col("n_shingles"), "doc_id"))
+    several = mixed.groupBy("band").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), best.alias("hub")).filter("c0 <> c1")
+    open_ = stage(mixed.drop("c").join(several.select("band", "hub"), "band"), "open")
+    pairs = open_.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
+    compared = stage(_compared(pairs, sets, estimated=False), "compared")
+    labels = components(_links(labels).union(_linked(compared)))
+
+    with_hub = compared.groupBy(F.col("a").alias("hub"), F.col("b").alias("doc_id")).agg(F.max("n").alias("n"))
+    apart = _mixed(open_, labels).join(with_hub, ["hub", "doc_id"], "left").withColumn("n", F.coalesce("n", "common"))
+    apart = stage(apart.select("band", "doc_id", "c", "n_shingles", "n", (F.col("common") - F.col("n")).alias("rest")), "apart")
+    other = apart.select("band", *(F.col(c).alias(f"{c}_a") for c in ("doc_id", "c", "n_shingles", "n", "rest")))
+    most = F.least("n", "n_a") + F.least("rest", "rest_a")
+    similar = most * 100 >= (F.col("n_shingles") + F.col("n_shingles_a") - most) * SIMILARITY_PERCENT
+    pairs = apart.join(other, "band").filter((F.col("doc_id_a") < F.col("doc_id")) & (F.col("c") != F.col("c_a")) & similar)
+    pairs = stage(pairs.select(F.col("doc_id_a").alias("a"), F.col("doc_id").alias("b")).distinct(), "last")
+    labels = components(_links(labels).union(_linked(_compared(pairs, sets))))
 
     return (
         rows.select("doc_id", *KEYS)

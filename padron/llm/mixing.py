@@ -32,6 +32,9 @@ SHARDS = 64
 SEED = 11
 #: Documents of a source are ordered within this many hash ranges, each by itself.
 RANGES = 4096
+#: A shard is written in this many runs of places.
+SPREAD = 16
+_ROW = "_mix_row"
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,15 +46,20 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([*(part.column(i) for i in rest), sizes], [*(batch.schema.names[i] for i in rest), "size"])
 
 
-def sized(documents: DataFrame) -> DataFrame:
-    """doc_id, source, tie, size (words; null text: 0); ``tie`` orders rows that share the rest."""
+def sized(documents: DataFrame, *keep: str) -> DataFrame:
+    """doc_id, source, tie, size (words; null text: 0) and long columns to ``keep``.
+
+    ``tie`` orders rows that share the rest.
+    """
     docs = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.xxhash64("text").alias("tie"),
         F.col("text").cast("string").alias("text"),
+        *keep,
     )
-    return docs.mapInArrow(_count, "doc_id long, source string, tie long, size long")
+    kept = "".join(f", {c} long" for c in keep)
+    return docs.mapInArrow(_count, f"doc_id long, source string, tie long{kept}, size long")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -128,13 +136,13 @@ def _shard_ranges(shards: int):
     return split
 
 
-def plan_mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, shards: int = SHARDS) -> DataFrame:
-    """One row for each document: doc_id, source, tie, size, source_size, target, draws.
+def plan_mix(documents: DataFrame, *keep: str, weights: tuple[int, ...] = WEIGHTS, shards: int = SHARDS) -> DataFrame:
+    """One row for each document: doc_id, source, tie, size, source_size, target, draws, and ``keep``.
 
     A document is in every whole pass of its source and, as far as the source's exact
     quota reaches, in one more; only the document at the quota's end is taken in part.
     """
-    rows = stage(sized(documents), "sizes")
+    rows = stage(sized(documents, *keep), "sizes")
     sources = targets(rows, weights)
     passes = F.when(F.col("source_size") > 0, F.floor(F.floor("target") / F.col("source_size"))).otherwise(0)
     sources = sources.withColumn("copies", passes).withColumn("quota", F.floor("target") - F.col("copies") * F.col("source_size"))
@@ -155,7 +163,7 @@ def plan_mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, shards: i
     placed = placed.withColumn("offset", F.col("begin") + F.col("ahead"))
     placed = placed.join(sources, placed["source"].eqNullSafe(sources["source"])).drop(sources["source"])
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("quota") - F.col("offset")))
-    return placed.select("doc_id", "source", "tie", "size", "source_size", "target", _draws(part).alias("draws"))
+    return placed.select("doc_id", "source", "tie", "size", "source_size", "target", _draws(part).alias("draws"), *keep)
 
 
 def _draws(part: Column) -> Column:
@@ -186,3 +194,25 @@ def taken_words(documents: DataFrame) -> DataFrame:
     """
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda s, d: s + d["words"])
     return plan_mix(documents).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, shards: int = SHARDS) -> DataFrame:
+    """The mixed documents, one row for each copy, with the columns of ``documents``.
+
+    The last document of a source's quota is cut after its last taken word, and its
+    n_chars, where there is such a column, follows. Rows of a shard lie together, in the
+    order of their place.
+    """
+    numbered = stage(documents.withColumn(_ROW, F.monotonically_increasing_id()), "documents")
+    plan = plan_mix(numbered, _ROW, weights=weights, shards=shards)
+    plan = plan.select(_ROW, F.col("size").alias("_mix_size"), F.explode("draws").alias("_mix_draw"))
+    each = numbered.join(plan, _ROW)
+    cut = F.col("_mix_draw.words") < F.col("_mix_size")
+    words = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])", (F.col("_mix_draw.words") + 1).cast("int"))
+    head = F.array_join(F.slice(words, F.lit(1), F.col("_mix_draw.words").cast("int")), "")
+    each = each.withColumn("text", F.when(cut, head).otherwise(F.col("text")))
+    if "n_chars" in documents.columns:
+        kind = documents.schema["n_chars"].dataType
+        each = each.withColumn("n_chars", F.when(cut, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    ordered = each.repartition("_mix_draw.shard", F.pmod("_mix_draw.place", F.lit(SPREAD))).sortWithinPartitions("_mix_draw.shard", "_mix_draw.place")
+    return ordered.select(*documents.columns)

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from padron.llm import chat, pii
 from padron.llm.decontaminate import find_contamination
+from padron.llm.lm import score_documents
 from padron.llm.minhash import link_duplicates
 from padron.llm.mixing import taken_words
+from padron.llm.packing import pack_documents
 from padron.llm.quality import judge_quality
 from padron.llm.registry import ORACLES, QUERIES, query, table
 from padron.llm.toxicity import score_toxicity
@@ -61,3 +63,13 @@ def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query()
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
