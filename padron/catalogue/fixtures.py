@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from padron.sources.lookups import ENTITY_LETTERS, PROVINCE_CODES
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -135,7 +137,7 @@ known AS (
                           ELSE {cif_text_sql("'b'", "n")} END AS nif,
          CASE WHEN n % 3 = 1 THEN 'DNI' WHEN n % 100 IN (69, 89) OR n = 0 THEN NULL ELSE 'CIF' END AS kind
   FROM part_pairs),
-full_mentions AS (
+marked_mentions AS (
   SELECT nif AS "ID", kind, core AS "Name_proc",
          CASE WHEN l_linenumber % 4 = 0 THEN core
               WHEN n % 3 = 2 THEN core || ' u.t.e.' ELSE core || ' s.l.' END AS "Name",
@@ -144,11 +146,25 @@ full_mentions AS (
          CASE WHEN l_linenumber % 3 > 0 THEN 'city ' || (k % 7) END AS city,
          lpad(CAST(k % 50 AS VARCHAR), 5, '0') || CASE WHEN k % 3 = 0 THEN '.0' ELSE '' END AS zone,
          l_orderkey, l_linenumber, l_partkey, l_suppkey, n
-  FROM lineitem JOIN known ON l_partkey = k WHERE kind IS NOT NULL)
+  FROM lineitem JOIN known ON l_partkey = k),
+full_mentions AS (SELECT * FROM marked_mentions WHERE kind IS NOT NULL),
+all_mentions AS (SELECT * REPLACE (CASE WHEN kind IS NOT NULL THEN "ID" END AS "ID") FROM marked_mentions)
 """
 )
 
 
+def province_sql(code: str) -> str:
+    """The province of a two-digit code."""
+    whens = " ".join(f"WHEN {code} IN ({', '.join(repr(c.strip()) for c in codes.split(','))}) THEN '{name}'" for codes, name in PROVINCE_CODES)
+    return f"CASE {whens} END"
+
+
+def entity_sql(letter: str) -> str:
+    """The description of an entity letter."""
+    whens = " ".join(f"WHEN '{row[0].lower()}' THEN '{row[1]}'" for row in ENTITY_LETTERS)
+    return f"CASE {letter} {whens} END"
+
+
 def raw_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ID, Name, id_tender, SMEAwardedIndicator, CityName, PostalZone and ord, as a tender table would spell them."""
     n, k, line = F.col("n"), F.col("k"), F.col("l_linenumber")

@@ -23,11 +23,10 @@ from padron.operators.quality import (
     evaluate_links,
     frequency_stoplist,
     link_examples,
-    truth_lists,
+    truth_links,
 )
 from padron.operators.splits import dictionary_hits, split_consortium
-from padron.plans.linking import company_lists, consortium_members, link_by_split, link_by_tokens
-from padron.skew import pack_list
+from padron.plans.linking import company_links, consortium_members, link_by_split, link_by_tokens
 from padron.sources.staging import stage
 
 # --- splitting -------------------------------------------------------------------------
@@ -190,27 +189,18 @@ def q_link_consortia(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
     WITH {LINKS_SQL}
-    SELECT "NIF", "FullName", (SELECT string_agg(company, '|' ORDER BY company) FROM links WHERE consortium = "FullName") AS members FROM consortia
+    SELECT "NIF", "FullName", company AS member FROM consortia LEFT JOIN links ON consortium = "FullName"
     """
 )
 def q_consortium_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     joint = consortia(spark, sf_dir).select("NIF", "FullName")
     links = stage(_token_links(spark, sf_dir), "links")
-    members = consortium_members(links, _companies(spark, sf_dir), joint)
-    return members.select("NIF", "FullName", F.array_join("members", "|").alias("members"))
+    return consortium_members(links, _companies(spark, sf_dir), joint)
 
 
-@query(
-    f"""
-    WITH {LINKS_SQL}
-    SELECT company, count(*) AS n, md5(string_agg(consortium, '|' ORDER BY consortium)) AS consortia FROM links GROUP BY company
-    """
-)
+@query(f"WITH {LINKS_SQL} SELECT company, consortium FROM links")
 def q_company_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = company_lists(_token_links(spark, sf_dir))
-    return lists.select(
-        "company", F.size("consortia").cast("long").alias("n"), F.md5(F.array_join("consortia", "|")).alias("consortia")
-    )
+    return company_links(_token_links(spark, sf_dir))
 
 
 # --- fuzzy -----------------------------------------------------------------------------
@@ -253,13 +243,14 @@ def q_fuzzy_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_join(_firms(spark, sf_dir), "company", _faulty(spark, sf_dir), "piece")
 
 
-@query(
-    f"""
+SPLIT_LINKS_SQL = f"""
     WITH {PIECES_SQL}, l AS (SELECT "Name" AS a FROM companies), r AS (SELECT DISTINCT piece AS b FROM pieces),
     alike AS ({alike_sql("l", "r")})
     SELECT a AS company, "FullName" AS consortium, count(*) AS n_splits FROM alike JOIN pieces ON piece = b GROUP BY 1, 2
-    """
-)
+"""
+
+
+@query(SPLIT_LINKS_SQL)
 def q_link_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_by_split(_companies(spark, sf_dir), consortia(spark, sf_dir))
 
@@ -277,20 +268,26 @@ def _truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consortia(spark, sf_dir).select(F.col("FullName").alias("consortium"), both.alias("company")).distinct()
 
 
-@query(f"WITH {TRUTH_SQL} SELECT company, count(*) AS n, md5(string_agg(consortium, '|' ORDER BY consortium)) AS consortia FROM truth GROUP BY company")
+def _methods(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    by_split = link_by_split(_companies(spark, sf_dir), consortia(spark, sf_dir))
+    return {"split": by_split, "tokens": _token_links(spark, sf_dir), "truth": _truth(spark, sf_dir)}
+
+
+@query(f"WITH {TRUTH_SQL} SELECT company, consortium FROM truth")
 def q_truth_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = truth_lists(_truth(spark, sf_dir), "company", "consortium")
-    return lists.select(
-        "company", F.size("consortium").cast("long").alias("n"), F.md5(F.array_join("consortium", "|")).alias("consortia")
-    )
+    return truth_links(_truth(spark, sf_dir), "company", "consortium")
 
 
-@query(f"WITH {TRUTH_SQL} SELECT consortium, string_agg(company, '|' ORDER BY company) AS members FROM truth GROUP BY consortium")
+@query(
+    f"""
+    WITH {CONSORTIA_SQL}
+    SELECT DISTINCT "FullName" AS consortium, unnest([a, b]) AS member FROM consortia
+    """
+)
 def q_invert_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = truth_lists(_truth(spark, sf_dir), "company", "consortium")
-    edges = invert_edges(lists, "company", "consortium", "consortium")
-    packed = pack_list(edges, ["consortium"], "company", name="members")
-    return packed.select("consortium", F.array_join("members", "|").alias("members"))
+    """Lists of two members for each consortium become one row for each of them."""
+    lists = consortia(spark, sf_dir).select("FullName", F.array("a", "b").alias("members"))
+    return invert_edges(lists, "FullName", "members", "member").withColumnRenamed("FullName", "consortium")
 
 
 @query(
@@ -298,24 +295,28 @@ def q_invert_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH {LINKS_SQL}, truth AS (SELECT DISTINCT "FullName" AS consortium, unnest([a, b]) AS company FROM consortia),
     totals AS (SELECT count(*) AS n FROM consortia)
     SELECT 'tokens' AS method, count(DISTINCT consortium) AS linked, any_value(n) AS consortia, round(count(DISTINCT consortium) * 100.0 / any_value(n), 6) AS coverage_pct FROM links, totals
+    UNION ALL SELECT 'split', count(DISTINCT consortium), any_value(n), round(count(DISTINCT consortium) * 100.0 / any_value(n), 6) FROM ({SPLIT_LINKS_SQL}) AS s, totals
     UNION ALL SELECT 'truth', count(DISTINCT consortium), any_value(n), round(count(DISTINCT consortium) * 100.0 / any_value(n), 6) FROM truth, totals
     """
 )
 def q_link_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     joint = consortia(spark, sf_dir)
-    methods = {"tokens": _token_links(spark, sf_dir), "truth": _truth(spark, sf_dir)}
-    return coverage(methods, "consortium", joint).withColumn("coverage_pct", F.round("coverage_pct", 6))
+    return coverage(_methods(spark, sf_dir), "consortium", joint).withColumn("coverage_pct", F.round("coverage_pct", 6))
 
 
 @query(
     f"""
     WITH {TRUTH_SQL}
-    SELECT 'truth' AS method, company, string_agg(consortium, chr(10) ORDER BY consortium) AS consortiums FROM truth
-    WHERE company IN (SELECT DISTINCT company FROM truth ORDER BY company LIMIT 10) GROUP BY company
+    SELECT 'truth' AS method, company, consortium FROM truth
+    WHERE company IN (SELECT DISTINCT company FROM truth ORDER BY company LIMIT 10)
+    UNION ALL SELECT 'split', company, consortium FROM ({SPLIT_LINKS_SQL}) AS s
+    WHERE company IN (SELECT DISTINCT company FROM ({SPLIT_LINKS_SQL}) AS s ORDER BY company LIMIT 10)
+    UNION ALL SELECT 'tokens', company, consortium FROM (WITH {LINKS_SQL} SELECT * FROM links) AS t
+    WHERE company IN (SELECT DISTINCT company FROM (WITH {LINKS_SQL} SELECT * FROM links) AS t ORDER BY company LIMIT 10)
     """
 )
 def q_link_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_examples({"truth": _truth(spark, sf_dir)}, "company", "consortium", 10).drop("part")
+    return link_examples(_methods(spark, sf_dir), "company", "consortium", 10)
 
 
 @query(

@@ -13,6 +13,8 @@ from padron.catalogue.fixtures import (
     control_number_sql,
     dni_text,
     dni_text_sql,
+    entity_sql,
+    province_sql,
     ratio_sql,
     raw_mentions,
     table,
@@ -125,15 +127,13 @@ def q_legal_form_remove(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full.withColumn("name", remove_legal_form(F.col("name")))
 
 
-@query("SELECT p_partkey, p_name || ' - ' || lower(p_type) || ' ' || p_size || ', ' || lower(p_brand[:5]) || '.' AS name FROM part")
+@query("SELECT p_partkey, p_name || ' - ' || lower(p_type) || ' ' || p_size || ', ' || lower(p_brand[:5]) || ' .' AS name FROM part")
 def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     noisy = F.concat(
         F.lit("«"), F.upper("p_name"), F.lit("»-"), "p_type", F.lit(" #"), F.col("p_size").cast("string"), F.lit(",  ("),
         F.substring("p_brand", 1, 5), F.lit(")."),
     )
-    # a bracket before the last dot becomes a space
-    cleaned = F.regexp_replace(clean_text(noisy), r" \.$", ".")
-    return table(spark, sf_dir, "part").select("p_partkey", cleaned.alias("name"))
+    return table(spark, sf_dir, "part").select("p_partkey", clean_text(noisy).alias("name"))
 
 
 @query(
@@ -150,15 +150,11 @@ def q_clean_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT doc_id, regexp_replace(strip_accents(lower(text)), '[^a-z0-9_]', '', 'g') AS name FROM documents
-    WHERE lang IN ('es', 'fr', 'en') AND NOT regexp_matches(strip_accents(text), '[^\\x00-\\x7F]')
+    SELECT doc_id, regexp_replace(strip_accents(replace(lower(text), 'ß', 'ss')), '[^a-z0-9_]', '', 'g') AS name FROM documents
     """
 )
 def q_name_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents written in Latin letters only."""
-    docs = table(spark, sf_dir, "documents").filter(F.col("lang").isin("es", "fr", "en"))
-    latin = docs.filter(~F.col("text").rlike(r"[^\x00-\x7FÀ-ÿ&&[^ÆÐ×ØÞßæð÷øþ]]"))
-    return latin.select("doc_id", name_key(F.col("text")).alias("name"))
+    return table(spark, sf_dir, "documents").select("doc_id", name_key(F.col("text")).alias("name"))
 
 
 @query("SELECT doc_id, md5(translate(text, 'áéíóúÁÉÍÓÚòÒ', 'aeiouAEIOUoO')) AS folded FROM documents")
@@ -283,14 +279,12 @@ def q_used_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
     WITH {FULL_MENTIONS_SQL}
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, "ID", "Name", "Name_proc", "Name_norm", id_tender FROM full_mentions
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, "ID", "Name", "Name_proc", "Name_norm", id_tender FROM all_mentions
     """
 )
 def q_clean_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = clean_mentions_once(raw_mentions(spark, sf_dir), salt_by=["ord"])
-    return cleaned.filter(F.col("ID").isNotNull()).select(
-        "ord.*", "ID", "Name", "Name_proc", "Name_norm", "id_tender"
-    )
+    cleaned = clean_mentions_once(raw_mentions(spark, sf_dir))
+    return cleaned.select("ord.*", "ID", "Name", "Name_proc", "Name_norm", "id_tender")
 
 
 # --- tax IDs ---------------------------------------------------------------------------
@@ -449,17 +443,14 @@ def q_id_correct(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT o_orderkey, CASE WHEN code = 1 AND l = 'a' THEN 's.a.' WHEN code = 1 AND l = 'b' THEN 's.l.' WHEN code = 1 AND l = 'c' THEN 's.r.c.'
              WHEN code = 1 AND l = 'd' THEN 's.e.n.c.' WHEN code = 1 AND l = 'e' THEN 'c.b.' WHEN code = 1 AND l = 'f' THEN 'coop.'
              WHEN code = 1 AND l = 'j' THEN 's.c.' WHEN code = 1 AND l = 'u' THEN 'u.t.e.' WHEN code = 1 AND l = 'v' THEN 's.a.t.' END AS form,
-           CASE WHEN code = 1 AND left(d, 2) = '00' THEN 'No Residente' WHEN code = 1 AND left(d, 2) IN ('28', '78', '79', '80', '81', '82',
-             '83', '84', '85', '86', '87', '88') THEN 'Madrid' WHEN code = 1 AND left(d, 2) IN ('50', '99') THEN 'Zaragoza' END AS place,
-           code = 1 AS known
+           CASE WHEN code = 1 THEN {province_sql("left(d, 2)")} END AS place, CASE WHEN code = 1 THEN {entity_sql("l")} END AS description
     FROM cifs
     """
 )
 def q_cif_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = decode_cif(_cifs(spark, sf_dir), "nif")
-    place = F.when(F.col("Province").isin("No Residente", "Madrid", "Zaragoza"), F.col("Province"))
     return decoded.select(
-        "o_orderkey", F.col("CompanyType").alias("form"), place.alias("place"), F.col("CompanyDescription").isNotNull().alias("known")
+        "o_orderkey", F.col("CompanyType").alias("form"), F.col("Province").alias("place"), F.col("CompanyDescription").alias("description")
     )
 
 

@@ -118,12 +118,11 @@ def q_register_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
     WITH {FOUND_SQL}
-    SELECT "ID_EMPRESA", attribute, string_agg(DISTINCT value, '|' ORDER BY value) AS "values" FROM all_values GROUP BY "ID_EMPRESA", attribute
+    SELECT DISTINCT "ID_EMPRESA", attribute, value FROM all_values
     """
 )
 def q_collect_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = value_sets(link_register(*_inputs(spark, sf_dir)).values)
-    return sets.select("ID_EMPRESA", "attribute", F.array_join("values", "|").alias("values"))
+    return value_sets(link_register(*_inputs(spark, sf_dir)).values)
 
 
 @query(
@@ -204,7 +203,7 @@ def q_consistency_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SNAPSHOT_SQL = """
-recent AS (SELECT o_custkey AS "NIF", count(*) AS n FROM orders WHERE o_orderdate >= DATE '2001-01-01' GROUP BY 1),
+recent AS (SELECT o_custkey AS "NIF", count(*) AS n FROM orders WHERE o_orderdate >= DATE '1997-06-01' GROUP BY 1),
 earlier AS (SELECT o_custkey AS "NIF", count(*) AS n FROM orders WHERE o_orderdate < DATE '1997-06-01' GROUP BY 1)
 """
 
@@ -213,7 +212,7 @@ def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     orders = table(spark, sf_dir, "orders")
     day = F.col("o_orderdate")
     count = F.count(F.lit(1)).alias("n")
-    recent = orders.filter(day >= F.to_timestamp(F.lit("2001-01-01"))).groupBy(F.col("o_custkey").alias("NIF")).agg(count)
+    recent = orders.filter(day >= F.to_timestamp(F.lit("1997-06-01"))).groupBy(F.col("o_custkey").alias("NIF")).agg(count)
     earlier = orders.filter(day < F.to_timestamp(F.lit("1997-06-01"))).groupBy(F.col("o_custkey").alias("NIF")).agg(count)
     return recent, earlier
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padron.catalogue.fixtures import FULL_MENTIONS_SQL, MENTIONS_SQL, mentions, raw_mentions, table
+from padron.catalogue.fixtures import FULL_MENTIONS_SQL, MENTIONS_SQL, mentions, province_sql, raw_mentions, table
 from padron.catalogue.registry import query
 from padron.operators.mentions import clean_mentions_once
 from padron.operators.resolve import (
@@ -14,8 +14,8 @@ from padron.operators.resolve import (
     golden_records,
     id_summary,
     mention_groups,
-    mention_lists,
-    regroup_lists,
+    mention_items,
+    regroup_items,
     rejected_mentions,
     unify_repeated,
     unique_pairs,
@@ -60,30 +60,23 @@ def _groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
     WITH {MENTIONS_SQL}
-    SELECT "ID", "Name_norm", count(*) AS n, min(ord) AS first, string_agg(l_orderkey, '|' ORDER BY ord, l_orderkey) AS orders
-    FROM mentions GROUP BY "ID", "Name_norm"
+    SELECT "ID", "Name_norm", count(*) OVER g AS n, min(ord) OVER g AS first, ord, l_orderkey FROM mentions WINDOW g AS (PARTITION BY "ID", "Name_norm")
     """
 )
 def q_group_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mentions(spark, sf_dir)
-    lists = mention_lists(rows, "l_orderkey")
-    return mention_groups(rows).join(lists, ["ID", "Name_norm"]).select(
-        "ID", "Name_norm", F.col("count").alias("n"), "first", F.array_join(F.col("l_orderkey").cast("array<string>"), "|").alias("orders")
-    )
+    items = mention_items(rows, "l_orderkey")
+    return mention_groups(rows).withColumnRenamed("count", "n").join(items, ["ID", "Name_norm"])
 
 
 @query(
     f"""
     WITH {MENTIONS_SQL}
-    SELECT "ID", count(*) AS n, string_agg(l_orderkey, '|' ORDER BY "Name_norm", ord, l_orderkey) AS orders FROM mentions GROUP BY "ID"
+    SELECT "ID", "Name_norm", ord, l_orderkey FROM mentions
     """
 )
 def q_regroup_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = mention_lists(mentions(spark, sf_dir), "l_orderkey")
-    merged = regroup_lists(lists, ["ID"], "l_orderkey", ["Name_norm", "part"])
-    return merged.select(
-        "ID", F.size("l_orderkey").cast("long").alias("n"), F.array_join(F.col("l_orderkey").cast("array<string>"), "|").alias("orders")
-    )
+    return regroup_items(mention_items(mentions(spark, sf_dir), "l_orderkey"), ["ID"], "l_orderkey", ["Name_norm", "ord"])
 
 
 @query(
@@ -241,7 +234,7 @@ def q_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def q_rejected_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = clean_mentions_once(raw_mentions(spark, sf_dir), salt_by=["ord"])
+    cleaned = clean_mentions_once(raw_mentions(spark, sf_dir))
     return rejected_mentions(cleaned).select("ord.*")
 
 
@@ -282,41 +275,40 @@ final AS (
          CASE WHEN left(a.nif, 1) IN ('b', 'u') THEN substr(a.nif, 2, 2) END AS code
   FROM attributes a JOIN longest l USING (nif) JOIN proposed p USING (nif))
 """
-SHOWN = '"NIF", "FullName", "Name", "NIFtype", "CompanyType", "CompanyDescription", "isPYME", "City", "PostalCode", id_tender'
+SHOWN = f"""
+"NIF", "FullName", "Name", "NIFtype", "CompanyType", "CompanyDescription", "isPYME", "City", "PostalCode", n_mentions, {province_sql("code")} AS "Province"
+"""
 
 
-def _shown(df: DataFrame) -> DataFrame:
-    return df.withColumn("id_tender", F.array_join("id_tender", "|")).drop("part")
+@query(f"WITH {COMPANY_TABLE_SQL} SELECT {SHOWN} FROM final")
+def q_company_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return output_columns(company_tables(raw_mentions(spark, sf_dir)).companies, ("City", "PostalCode", "n_mentions"))
+
+
+@query(f"WITH {COMPANY_TABLE_SQL} SELECT {SHOWN} FROM final WHERE consortium")
+def q_consortium_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return output_columns(company_tables(raw_mentions(spark, sf_dir)).consortia, ("City", "PostalCode", "n_mentions"))
 
 
 @query(
     f"""
     WITH {COMPANY_TABLE_SQL}
-    SELECT {SHOWN}, CASE WHEN code IN ('28', '78', '79', '80', '81', '82', '83', '84', '85', '86', '87', '88') THEN 'Madrid' END AS madrid FROM final
+    SELECT nif AS "NIF", "ID", "Name_norm", l_orderkey, l_linenumber, l_partkey, l_suppkey, id_tender FROM assigned
     """
 )
-def q_company_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = company_tables(raw_mentions(spark, sf_dir))
-    published = output_columns(tables.with_tenders(tables.companies), ("City", "PostalCode", "part", "id_tender"))
-    madrid = F.when(F.col("Province") == "Madrid", F.col("Province"))
-    return _shown(published).withColumn("madrid", madrid).drop("Province")
-
-
-@query(f"WITH {COMPANY_TABLE_SQL} SELECT {SHOWN} FROM final WHERE consortium")
-def q_consortium_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = company_tables(raw_mentions(spark, sf_dir))
-    published = output_columns(tables.with_tenders(tables.consortia), ("City", "PostalCode", "part", "id_tender"))
-    return _shown(published).drop("Province")
+def q_company_tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tenders = company_tables(raw_mentions(spark, sf_dir)).tenders
+    return tenders.select("NIF", "ID", "Name_norm", "ord.*", "id_tender")
 
 
 @query(
     f"""
     WITH {COMPANY_TABLE_SQL}
-    SELECT "NIF", "Name", "CompanyType", n_mentions FROM final
+    SELECT "NIF", "FullName", "Name", {province_sql("code")} AS "Province", "NIFtype", "CompanyType", "CompanyDescription", "isPYME" FROM final
     """
 )
 def q_company_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return company_tables(raw_mentions(spark, sf_dir)).companies.select("NIF", "Name", "CompanyType", "n_mentions")
+    return output_columns(company_tables(raw_mentions(spark, sf_dir)).companies)
 
 
 @query(f"""WITH {FULL_MENTIONS_SQL}, {COMPANY_TABLE_SQL.split(FULL_MENTIONS_SQL)[1].lstrip().lstrip(",")}

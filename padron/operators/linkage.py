@@ -19,7 +19,6 @@ from pyspark.sql.types import ArrayType, StringType
 from padron.functions.fuzzy import beats, edit_budget, lcs, ratio_from_lcs
 from padron.functions.text import TOKEN_SEPARATORS, fold_accents, is_digits
 from padron.operators.splits import EXTRA_MARKERS
-from padron.skew import PAIR_SIDE_ROWS, grid_join, salted_join
 from padron.sources.lookups import ENTITY_LETTERS
 
 # Further tokens that are never part of a company's own name.
@@ -29,11 +28,11 @@ MIN_TOKEN = 4
 
 def exclude_names(df: DataFrame, others: DataFrame, key: str) -> DataFrame:
     """Rows whose key does not occur in ``others``; rows without a key stay."""
-    return salted_join(df, others.select(key).distinct(), [key], "left_anti")
+    return df.join(others.select(key).distinct(), key, "left_anti")
 
 
 def keep_names(df: DataFrame, others: DataFrame, key: str) -> DataFrame:
-    return salted_join(df, others.select(key).distinct(), [key], "left_semi")
+    return df.join(others.select(key).distinct(), key, "left_semi")
 
 
 # --- phrase containment ---------------------------------------------------------------
@@ -64,21 +63,21 @@ def phrase_parts(names: DataFrame, name: str) -> DataFrame:
     )
 
 
-def phrase_spans(names: DataFrame, name: str, longest: int) -> DataFrame:
-    """Every span from one word to another (at most ``longest`` words) with the symbols around it.
+def phrase_spans(names: DataFrame, name: str, wanted: DataFrame) -> DataFrame:
+    """Spans from one word to another with the symbols around them, for ``wanted(first, n_words)``.
 
+    Only spans that begin with a wanted first word and have one of its numbers of words
+    are built, so one long name does not lengthen the spans of every other.
     ``left_gap``/``right_gap`` are the symbols between the span and the neighbouring
     word, null at the ends of the text. Symbol runs between two words are spans too.
     """
     n = F.size("_runs")
-    last = F.least(n, F.col("_i") + 2 * longest - 2)
     starts = names.select(*names.columns, _runs(F.col(name)).alias("_runs")).select(
         *names.columns, "_runs", F.explode(F.sequence(F.lit(1), F.size("_runs"))).alias("_i")
     )
     run = F.element_at("_runs", F.col("_i"))
-    word_start = starts.filter(_is_word(run)).withColumn(
-        "_j", F.explode(F.sequence(F.col("_i"), last, F.lit(2)))
-    )
+    word_start = starts.filter(_is_word(run)).withColumn("first", run).join(wanted, "first")
+    word_start = word_start.withColumn("_j", F.col("_i") + 2 * F.col("n_words") - 2).filter(F.col("_j") <= n)
     gap_at = F.col("_j") + 1
     spans = word_start.select(
         *names.columns,
@@ -96,7 +95,7 @@ def phrase_spans(names: DataFrame, name: str, longest: int) -> DataFrame:
 
 
 def containment_join(
-    companies: DataFrame, company: str, consortia: DataFrame, consortium: str, side_rows: int = PAIR_SIDE_ROWS
+    companies: DataFrame, company: str, consortia: DataFrame, consortium: str
 ) -> DataFrame:
     """Pairs where the company's name stands between word boundaries inside the consortium's name.
 
@@ -105,12 +104,12 @@ def containment_join(
     compare. Case counts. Empty names match nothing.
     """
     named = phrase_parts(companies.select(company).distinct(), company)
-    longest = named.agg(F.max("n_words")).first()[0] or 1
-    spans = phrase_spans(consortia.select(consortium).distinct(), consortium, max(longest, 1))
+    first = F.regexp_extract("core", r"(?U)^(\w+)", 1).alias("first")
+    wanted = named.filter("n_words > 0").select(first, "n_words").distinct()
+    spans = phrase_spans(consortia.select(consortium).distinct(), consortium, wanted)
     near = (F.col("before") == "") | (F.col("before") == F.col("left_gap"))
     far = (F.col("after") == "") | (F.col("after") == F.col("right_gap"))
-    met = grid_join(named, spans, "core", [company], [consortium], side_rows)
-    return met.filter(near & far).select(company, consortium).distinct()
+    return named.join(spans, "core").filter(near & far).select(company, consortium).distinct()
 
 
 # --- token overlap --------------------------------------------------------------------
@@ -148,11 +147,11 @@ def distinctive_tokens(names: DataFrame, name: str, stops: DataFrame | None) ->
     distinct = exploded.distinct()
     terms = separator_terms(names.sparkSession)
     terms = terms if stops is None else stop_terms([terms, stops])
-    return salted_join(distinct, terms.withColumnRenamed("term", "token"), ["token"], "left_anti", salt_by=[name])
+    return distinct.join(terms.withColumnRenamed("term", "token"), "token", "left_anti").select(name, "token")
 
 
 def token_overlap_join(
-    company_tokens: DataFrame, company: str, consortia: DataFrame, consortium: str, side_rows: int = PAIR_SIDE_ROWS
+    company_tokens: DataFrame, company: str, consortia: DataFrame, consortium: str
 ) -> DataFrame:
     """Pairs sharing at least one distinctive token."""
     found = (
@@ -162,8 +161,7 @@ def token_overlap_join(
         .filter(F.length("token") >= MIN_TOKEN)
         .distinct()
     )
-    met = grid_join(company_tokens.select(company, "token"), found, "token", [company], [consortium], side_rows)
-    return met.select(company, consortium).distinct()
+    return company_tokens.select(company, "token").join(found, "token").select(company, consortium).distinct()
 
 
 # --- fuzzy ----------------------------------------------------------------------------
@@ -254,12 +252,11 @@ def fuzzy_join(
     right: DataFrame,
     right_name: str,
     threshold: int = 95,
-    side_rows: int = PAIR_SIDE_ROWS,
 ) -> DataFrame:
     """Pairs of names whose similarity ratio exceeds ``threshold``, with the ratio."""
     a = left.select(F.col(left_name).alias("_a")).filter("_a <> ''").distinct()
     b = right.select(F.col(right_name).alias("_b")).filter("_b <> ''").distinct()
-    met = grid_join(fuzzy_keys(a, "_a", threshold), fuzzy_keys(b, "_b", threshold), "key", ["_a"], ["_b"], side_rows)
+    met = fuzzy_keys(a, "_a", threshold).join(fuzzy_keys(b, "_b", threshold), "key")
     total = F.length("_a") + F.length("_b")
     budget = edit_budget(total, threshold)
     # a pair can share many keys: compare its texts once

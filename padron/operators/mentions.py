@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from padron.functions.cells import bind, flag_from_text, pad
 from padron.functions.tax_id import normalise_id, valid_or_null
 from padron.functions.text import clean_name, name_key, squash_space, strip_embedded_id
-from padron.skew import salted_join
 from padron.sources.staging import stage
 
 
@@ -86,7 +85,7 @@ def clean_mentions(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def clean_mentions_once(df: DataFrame, salt_by: Sequence[str]) -> DataFrame:
+def clean_mentions_once(df: DataFrame) -> DataFrame:
     """``clean_mentions`` worked out once per distinct (ID, Name) and joined back.
 
     Some sixty patterns run over each name, so this pays where names repeat. An empty
@@ -94,9 +93,8 @@ def clean_mentions_once(df: DataFrame, salt_by: Sequence[str]) -> DataFrame:
     """
     raw = {"raw_id": F.coalesce("ID", F.lit("")), "raw_name": F.coalesce("Name", F.lit(""))}
     keyed = df.withColumns(raw)
-    pairs = keyed.groupBy(*raw).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = keyed.select(*raw).distinct()
     named = pairs.withColumns({"ID": F.col("raw_id"), "Name": F.col("raw_name")})
     cleaned = stage(clean_mentions(named, keep=list(raw)), "cleaned")
     rest = squash_columns(keyed.drop("ID", "Name"), keep=list(raw))
-    sizes = cleaned.select(*raw, "_n")
-    return salted_join(rest, cleaned.drop("_n"), list(raw), salt_by=salt_by, counts=sizes).drop(*raw)
+    return rest.join(cleaned, list(raw)).drop(*raw)

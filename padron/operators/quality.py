@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from padron.skew import key_counts, pack_list, salted_join, union_all
+from padron.frames import key_counts, union_all
 
 # Terms always added to the frequency stop list.
 MANUAL_STOPS = [
@@ -57,17 +57,12 @@ def coverage(edges: Mapping[str, DataFrame], consortium: str, all_consortia: Dat
 
 
 def link_examples(edges: Mapping[str, DataFrame], company: str, consortium: str, n: int = 10) -> DataFrame:
-    """First ``n`` companies by name per method with their consortia, one per line."""
+    """First ``n`` companies by name per method with their consortia, one row for each link."""
     shown = []
     for method, df in edges.items():
         first = df.select(company).distinct().orderBy(company).limit(n)
         own = df.join(F.broadcast(first), company).select(company, consortium).distinct()
-        lists = pack_list(own, [company], consortium, name="_list")
-        shown.append(
-            lists.select(
-                F.lit(method).alias("method"), company, "part", F.array_join("_list", "\n").alias(f"{consortium}s")
-            )
-        )
+        shown.append(own.withColumn("method", F.lit(method)))
     return union_all(shown)
 
 
@@ -90,12 +85,21 @@ def evaluate_links(found: DataFrame, truth: DataFrame, company: str, consortium:
 
 
 def keep_labelled(found: DataFrame, labelled: DataFrame, consortium: str) -> DataFrame:
-    return salted_join(found, labelled.select(consortium).distinct(), [consortium], "left_semi")
+    return found.join(labelled.select(consortium).distinct(), consortium, "left_semi")
 
 
-def truth_lists(pairs: DataFrame, company: str, consortium: str) -> DataFrame:
-    """Per company, the consortia it is labelled with, in bounded parts."""
-    return pack_list(pairs.select(company, consortium).dropna(), [company], consortium)
+def truth_links(pairs: DataFrame, company: str, consortium: str) -> DataFrame:
+    """``company, consortium``: the consortia each company is labelled with, one row each."""
+    return pairs.select(company, consortium).dropna().distinct()
+
+
+def sample_rows(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
+    """A repeatable sample of about ``share`` of the rows, chosen by a checksum of their keys.
+
+    It does not depend on files or partitions; rows with equal keys stay together.
+    """
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    return df.filter(F.substring(F.md5(text), 1, 8) < f"{int(share * 16**8):08x}")
 
 
 def forward_fill(df: DataFrame, group: str, order: str, column: str, slice_rows: int = 1_000_000) -> DataFrame:
@@ -127,7 +131,7 @@ def null_profile(df: DataFrame) -> DataFrame:
 def duplicate_report(df: DataFrame, key: str) -> DataFrame:
     """Rows whose known key occurs more than once, sorted by it."""
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    return salted_join(df, counts.select(key), [key], "left_semi", counts=counts).orderBy(key)
+    return df.join(counts.select(key), key, "left_semi").orderBy(key)
 
 
 def duplicate_share(df: DataFrame, key: str) -> DataFrame:

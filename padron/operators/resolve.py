@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from padron.operators.survivorship import ranked
-from padron.skew import pack_list, salted_join
 
 KEYS = ["ID", "Name_norm"]
 
@@ -31,16 +30,15 @@ def rejected_mentions(mentions: DataFrame) -> DataFrame:
     return mentions.filter(F.col("ID").isNull() | F.col("Name_norm").isNull())
 
 
-def mention_lists(mentions: DataFrame, column: str, order: str = "ord") -> DataFrame:
-    """All values of a column per (ID, Name_norm), in input order, in bounded parts."""
+def mention_items(mentions: DataFrame, column: str, order: str = "ord") -> DataFrame:
+    """All values of a column per (ID, Name_norm), one row each with its input position."""
     kept = mentions.filter(F.col("ID").isNotNull() & F.col("Name_norm").isNotNull())
-    return pack_list(kept.select(*KEYS, column, order), KEYS, column, order=[order])
+    return kept.select(*KEYS, order, column)
 
 
-def regroup_lists(lists: DataFrame, keys: list[str], column: str, order: list[str]) -> DataFrame:
-    """Concatenate list cells under coarser keys, in the order of ``order`` then position."""
-    items = lists.select(*keys, *[c for c in order if c not in keys], F.posexplode(column).alias("_at", column))
-    return pack_list(items, keys, column, order=[*[c for c in order if c not in keys], "_at"])
+def regroup_items(items: DataFrame, keys: list[str], column: str, order: list[str]) -> DataFrame:
+    """Items under coarser keys, one row each: the list of a key is its rows sorted by ``order``."""
+    return items.select(*keys, *[c for c in order if c not in keys], column)
 
 
 def _collapse(groups: DataFrame, repeated: str, chosen: str) -> DataFrame:
@@ -63,7 +61,7 @@ def flag_repeated(groups: DataFrame) -> DataFrame:
     for key, flag in (("ID", "id_repeated"), ("Name_norm", "name_repeated")):
         counts = groups.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
         flags = counts.select(key, (F.col("_n") > 1).alias(flag))
-        out = salted_join(out, flags, [key], salt_by=KEYS, counts=counts)
+        out = out.join(flags, key)
     return out
 
 
@@ -94,13 +92,12 @@ def replaced_ids(ids: DataFrame) -> DataFrame:
     single = ids.filter("n_groups = 1").select(*KEYS, "count", "first")
     by_name = _collapse(single, "Name_norm", "ID").filter("n_groups > 1")
     winners = by_name.select("Name_norm", F.col("ID").alias("golden_id"))
-    sizes = by_name.select("Name_norm", F.col("n_groups").alias("_n"))
-    matched = salted_join(single.select(*KEYS), winners, ["Name_norm"], salt_by=["ID"], counts=sizes)
+    matched = single.select(*KEYS).join(winners, "Name_norm")
     return matched.filter("ID <> golden_id").select("ID", "golden_id")
 
 
-def attach_golden_id(df: DataFrame, replaced: DataFrame, salt_by: list[str]) -> DataFrame:
-    joined = salted_join(df, replaced, ["ID"], "left", salt_by=salt_by)
+def attach_golden_id(df: DataFrame, replaced: DataFrame) -> DataFrame:
+    joined = df.join(replaced, "ID", "left")
     return joined.withColumn("golden_id", F.coalesce("golden_id", "ID"))
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from padron.functions.cells import bind, strip
 from padron.functions.text import strip_boilerplate, word_difference, word_ngrams, words
-from padron.skew import salted_join
 from padron.sources.lookups import ENTITY_LETTERS
 from padron.sources.staging import stage
 
@@ -86,7 +85,7 @@ def dictionary_hits(names: DataFrame, text: str, dictionary: DataFrame, known: s
     grams = names.select(
         *names.columns, F.posexplode(word_ngrams(words(F.col(text)), longest)).alias("at", "gram")
     )
-    return salted_join(grams, known_names, ["gram"], "left_semi")
+    return grams.join(known_names, "gram", "left_semi")
 
 
 def split_consortium(

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from padron.functions.text import leading_segment
-from padron.skew import salted_join
 
 
 def by_length(c: Column) -> Column:
@@ -56,7 +55,7 @@ def weighted_mode(df: DataFrame, keys: Sequence[str], value: str, order: Column)
     """
     local = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_first"))
     overall = df.groupBy(value).agg(F.count(F.lit(1)).alias("_all"))
-    both = salted_join(local, overall, [value], salt_by=keys)
+    both = local.join(overall, value)
     best = F.min(
         F.struct(
             (-(F.col("_n") / F.col("_all"))).alias("r"),

@@ -12,7 +12,6 @@ from padron.operators.classify import decode_cif, is_consortium, names_consortiu
 from padron.operators.mentions import clean_mentions
 from padron.operators.resolve import attach_golden_id, id_summary, mention_groups, replaced_ids
 from padron.operators.survivorship import by_length, leading_segment
-from padron.skew import LIST_ITEMS, pack_list, salted_join
 from padron.sources.staging import stage
 from padron.sources.tables import write_table
 
@@ -30,17 +29,16 @@ COLUMNS = [
 
 @dataclass(frozen=True)
 class CompanyTables:
-    """``companies`` and ``consortia``: one row per NIF. ``tenders``: NIF, part, id_tender list."""
+    """``companies`` and ``consortia``: one row per NIF, at any size.
+
+    ``tenders``: one row per mention, NIF, id_tender and its place (ID, Name_norm, ord).
+    """
 
     companies: DataFrame
     consortia: DataFrame
     tenders: DataFrame
     used_names: DataFrame
 
-    def with_tenders(self, table: DataFrame) -> DataFrame:
-        """The table with its ``id_tender`` lists: one row per NIF and list part."""
-        return table.join(self.tenders, "NIF", "left")
-
 
 def associations(mentions: DataFrame) -> DataFrame:
     """Distinct raw (ID, Name) with everything later steps need, already aggregated.
@@ -84,7 +82,7 @@ def _proposed(assigned: DataFrame) -> DataFrame:
     return counted.groupBy("golden_id").agg(best["name"].alias("Name"))
 
 
-def company_tables(mentions: DataFrame, max_list: int = LIST_ITEMS) -> CompanyTables:
+def company_tables(mentions: DataFrame) -> CompanyTables:
     """Golden companies and consortia.
 
     ``mentions``: ID, Name, id_tender (text), SMEAwardedIndicator (boolean), CityName,
@@ -96,7 +94,7 @@ def company_tables(mentions: DataFrame, max_list: int = LIST_ITEMS) -> CompanyTa
     pairs = cleaned.filter(F.col("ID").isNotNull() & F.col("Name_norm").isNotNull())
     ids = stage(id_summary(mention_groups(pairs, weight="count")), "ids")
     assigned = stage(
-        attach_golden_id(pairs, replaced_ids(ids), ["raw_id", "raw_name"]), "assigned"
+        attach_golden_id(pairs, replaced_ids(ids)), "assigned"
     )
     table = _attributes(assigned).join(_proposed(assigned), "golden_id").withColumnRenamed("golden_id", "NIF")
     decoded = with_id_type(decode_cif(table, "NIF"), "NIF")
@@ -107,22 +105,20 @@ def company_tables(mentions: DataFrame, max_list: int = LIST_ITEMS) -> CompanyTa
     return CompanyTables(
         companies=companies.drop("named_consortium"),
         consortia=companies.filter(kind).drop("named_consortium"),
-        tenders=tender_lists(mentions, assigned, max_list),
+        tenders=tender_rows(mentions, assigned),
         used_names=used_name_rows(assigned),
     )
 
 
-def tender_lists(mentions: DataFrame, assigned: DataFrame, max_list: int = LIST_ITEMS) -> DataFrame:
-    """``NIF, part, id_tender``: the tenders of each golden company, one entry per mention."""
+def tender_rows(mentions: DataFrame, assigned: DataFrame) -> DataFrame:
+    """``NIF, id_tender, ID, Name_norm, ord``: the tenders of each golden company, one row per mention.
+
+    Sorted by (ID, Name_norm, ord) the rows of a company are its list of tenders.
+    """
     keys = ["raw_id", "raw_name"]
     rows = mentions.select(F.col("ID").alias("raw_id"), F.col("Name").alias("raw_name"), "id_tender", "ord")
     own = assigned.select(*keys, F.col("golden_id").alias("NIF"), "ID", "Name_norm")
-    sizes = assigned.select(*keys, F.col("count").alias("_n"))
-    linked = salted_join(rows, own, keys, salt_by=["ord"], counts=sizes)
-    squashed = linked.withColumn("id_tender", squash_space(F.col("id_tender")))
-    owned = assigned.groupBy(F.col("golden_id").alias("NIF")).agg(F.sum("count").alias("_n"))
-    order = ["ID", "Name_norm", "ord"]
-    return pack_list(squashed, ["NIF"], "id_tender", order=order, max_items=max_list, counts=owned)
+    return rows.join(own, keys).select("NIF", squash_space(F.col("id_tender")).alias("id_tender"), "ID", "Name_norm", "ord")
 
 
 def used_name_rows(assigned: DataFrame) -> DataFrame:
@@ -136,8 +132,14 @@ def output_columns(table: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     return table.select(*COLUMNS, *extra)
 
 
-def write_company_tables(tables: CompanyTables, folder: str) -> None:
-    """Companies, consortia and their tender lists as Parquet under ``folder``."""
-    lists = ("part", "id_tender")
-    write_table(output_columns(tables.with_tenders(tables.companies), lists), f"{folder}/provisional_company_info.parquet")
-    write_table(output_columns(tables.with_tenders(tables.consortia), lists), f"{folder}/provisional_utes_info.parquet")
+def write_company_tables(
+    tables: CompanyTables,
+    folder: str,
+    companies: str = "companies.parquet",
+    consortia: str = "consortia.parquet",
+    tenders: str = "tenders.parquet",
+) -> None:
+    """Companies, consortia (one row per NIF) and their tenders as Parquet under ``folder``."""
+    write_table(output_columns(tables.companies), f"{folder}/{companies}")
+    write_table(output_columns(tables.consortia), f"{folder}/{consortia}")
+    write_table(tables.tenders, f"{folder}/{tenders}")

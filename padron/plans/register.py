@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from padron.functions.cells import flag_from_letter
 from padron.functions.tax_id import correct_id, id_type, is_valid_id, normalise_id, valid_or_null
 from padron.functions.text import clean_name
-from padron.skew import grid_join, pack_list, salted_join
 from padron.sources.staging import stage
 
 ATTRIBUTES = ["nif", "company", "NameProposed", "isPYME", "UTE"]
@@ -41,7 +40,7 @@ class RegisterLinks:
 def link_by_id(register: DataFrame, companies: DataFrame) -> DataFrame:
     """Register rows joined to companies on the tax ID (rows without one match nothing)."""
     mine = register.filter(F.col("nif").isNotNull())
-    return salted_join(mine, companies, ["nif"], salt_by=["ID_EMPRESA"])
+    return mine.join(companies, "nif")
 
 
 def alias_rows(df: DataFrame, key: str, names: str) -> DataFrame:
@@ -68,12 +67,16 @@ def _facts(id_value: Column) -> dict[str, Column]:
     }
 
 
+def _known(names: str) -> Column:
+    return F.coalesce(F.col(names), F.array().cast("array<string>"))
+
+
 def found_by_id(register: DataFrame, companies: DataFrame) -> DataFrame:
     """``ID_EMPRESA, attribute, value`` for register rows whose ID a company has."""
     own = companies.select("nif", "NameProposed", "isPYME", F.col("UsedNames").alias("theirs"))
     met = link_by_id(register.select("ID_EMPRESA", "nif", "UTE", "UsedNames"), own)
     facts = _melt(met, "ID_EMPRESA", _facts(F.col("nif")) | {"UTE": F.col("UTE")})
-    names = met.select("ID_EMPRESA", F.explode(F.concat("UsedNames", "theirs")).alias("value")).select(
+    names = met.select("ID_EMPRESA", F.explode(F.concat(_known("UsedNames"), _known("theirs"))).alias("value")).select(
         "ID_EMPRESA", F.lit("UsedNames").alias("attribute"), "value"
     )
     return facts.unionByName(names).distinct()
@@ -93,14 +96,12 @@ def found_by_alias(register: DataFrame, companies: DataFrame) -> DataFrame:
     own_id = F.struct(F.lit("nif").alias("attribute"), valid_or_null(F.col("nif")).alias("value"))
     flag = F.struct(F.lit("UTE").alias("attribute"), F.col("UTE").cast("string").alias("value"))
     own = known.select("ID_EMPRESA", F.inline(F.array(named, own_id, flag))).filter(F.col("value").isNotNull())
-    met = grid_join(
-        known.select("ID_EMPRESA", "alias").distinct(), per_alias, "alias", ["ID_EMPRESA"], ["attribute", "value"]
-    )
+    met = known.select("ID_EMPRESA", "alias").distinct().join(per_alias, "alias")
     return met.select("ID_EMPRESA", "attribute", "value").unionByName(own).distinct()
 
 
 def keep_shared(mine: DataFrame, theirs: DataFrame) -> DataFrame:
-    return salted_join(mine, theirs.select("alias").distinct(), ["alias"], "left_semi", salt_by=["ID_EMPRESA"])
+    return mine.join(theirs.select("alias").distinct(), "alias", "left_semi")
 
 
 def link_register(register: DataFrame, companies: DataFrame) -> RegisterLinks:
@@ -117,10 +118,8 @@ def link_register(register: DataFrame, companies: DataFrame) -> RegisterLinks:
 
 
 def value_sets(values: DataFrame) -> DataFrame:
-    """``ID_EMPRESA, attribute, part, values``: the sorted value sets, in bounded parts."""
-    return pack_list(
-        values.select("ID_EMPRESA", "attribute", "value").distinct(), ["ID_EMPRESA", "attribute"], "value", name="values"
-    )
+    """``ID_EMPRESA, attribute, value``: the value sets, one row for each member."""
+    return values.select("ID_EMPRESA", "attribute", "value").distinct()
 
 
 def consistency(values: DataFrame) -> DataFrame:

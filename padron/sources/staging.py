@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Used by a local session that names no folder of its own.
+LOCAL_ROOT = "/tmp/checkpoints"
+
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``.
+    """Folder for this application's tables, below the shared folder of ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would be lost with its executor, so a missing
+    On a cluster a machine-local folder would be lost with its executor, so a missing
     setting is an error there.
     """
     context = spark.sparkContext
@@ -20,9 +21,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="padron-stage-"))
+        context.setCheckpointDir(LOCAL_ROOT)
         root = context.getCheckpointDir()
-    return root.rstrip("/")
+    return f"{root.rstrip('/')}/{context.applicationId}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -36,3 +37,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete every table this application has staged; none of their scans can be read again."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

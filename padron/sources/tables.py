@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from padron.functions.cells import list_cell
-from padron.skew import union_all
+from padron.frames import union_all
 
 PARTY_MARKS = ("WinningParty", "SMEAwardedIndicator")
 TENDER_ID = "id"

@@ -9,5 +9,7 @@ from padron.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session("8", "padron-tests")
+def spark(tmp_path_factory):
+    session = local_session("8", "padron-tests")
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
+    return session
