@@ -40,6 +40,8 @@ BUCKETS = 256
 MANTISSA_BITS = 10
 BANDS, ROWS = 40, 4
 SIMILARITY_PERCENT = 75
+#: Bits of the filter for ids whose sets are needed (8 MB).
+FILTER_BITS = 1 << 26
 #: Sets below this size have too few independent registers to be judged by them.
 ESTIMATE_FROM = 64
 #: Five standard deviations of the share of 256 equal registers at 0.75.
@@ -145,16 +147,21 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column(batch.schema.get_field_index("doc_id"))
-        for start, end, data, bounds in chunks(batch):
-            words = Words(data, bounds)
-            row, found = shingles(words)
-            edges = np.searchsorted(row, np.arange(words.rows + 1)).astype(np.int32)
-            grams = pa.ListArray.from_arrays(edges, pa.array(found.view(np.int64)))
-            codes = _lists(registers(words.rows, row, found).view(np.int16), BUCKETS, pa.int16())
-            yield pa.record_batch([ids.slice(start, end - start), grams, codes], ["doc_id", "grams", "registers"])
+def _sets(wanted) -> object:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
+        for batch in batches:
+            slot = batch.column(batch.schema.get_field_index("slot")).to_numpy()
+            batch = batch.filter(pa.array((bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) > 0))
+            for start, end, data, bounds in chunks(batch):
+                words = Words(data, bounds)
+                row, found = shingles(words)
+                edges = np.searchsorted(row, np.arange(words.rows + 1)).astype(np.int32)
+                grams = pa.ListArray.from_arrays(edges, pa.array(found.view(np.int64)))
+                codes = _lists(registers(words.rows, row, found).view(np.int16), BUCKETS, pa.int16())
+                yield pa.record_batch([batch.column(0).slice(start, end - start), grams, codes], ["doc_id", "grams", "registers"])
+
+    return run
 
 
 def _estimate(a: Column, b: Column) -> Column:
@@ -163,8 +170,19 @@ def _estimate(a: Column, b: Column) -> Column:
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id, grams, registers of the documents whose id is in ``ids``."""
-    return stage(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, SETS), "sets")
+    """doc_id, grams, registers of at least the documents whose id is in ``ids``, which has no null.
+
+    The texts stay where they are: a bitmap of FILTER_BITS hashed ids goes to every task.
+    Its size is fixed; where it fills up, more sets than needed are made, none is missed.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    words = ids.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word"))
+    found = words.agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS >> 6, np.uint64)
+    bits[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    wanted = docs.sparkSession.sparkContext.broadcast(bits)
+    texts = docs.filter("doc_id IS NOT NULL").withColumn("slot", slot)
+    return stage(texts.mapInArrow(_sets(wanted), SETS), "sets")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, estimated: bool = True) -> DataFrame:
@@ -238,10 +256,13 @@ def link_duplicates(documents: DataFrame) -> DataFrame:
     with_hub = compared.groupBy(F.col("a").alias("hub"), F.col("b").alias("doc_id")).agg(F.max("n").alias("n"))
     apart = _mixed(open_, labels).join(with_hub, ["hub", "doc_id"], "left").withColumn("n", F.coalesce("n", "common"))
     apart = stage(apart.select("band", "doc_id", "c", "n_shingles", "n", (F.col("common") - F.col("n")).alias("rest")), "apart")
-    other = apart.select("band", *(F.col(c).alias(f"{c}_a") for c in ("doc_id", "c", "n_shingles", "n", "rest")))
+    bands = apart.groupBy("doc_id").agg(F.collect_set("band").alias("bands"))  # BANDS of them at most
+    apart = apart.join(bands, "doc_id")
+    other = apart.select("band", *(F.col(c).alias(f"{c}_a") for c in ("doc_id", "c", "n_shingles", "n", "rest", "bands")))
     most = F.least("n", "n_a") + F.least("rest", "rest_a")
     similar = most * 100 >= (F.col("n_shingles") + F.col("n_shingles_a") - most) * SIMILARITY_PERCENT
-    pairs = apart.join(other, "band").filter((F.col("doc_id_a") < F.col("doc_id")) & (F.col("c") != F.col("c_a")) & similar)
+    once = F.col("band") == F.array_min(F.array_intersect("bands", "bands_a"))  # in one of the bands they share
+    pairs = apart.join(other, "band").filter((F.col("doc_id_a") < F.col("doc_id")) & (F.col("c") != F.col("c_a")) & similar & once)
     pairs = stage(pairs.select(F.col("doc_id_a").alias("a"), F.col("doc_id").alias("b")).distinct(), "last")
     labels = components(_links(labels).union(_linked(_compared(pairs, sets))))
 
