@@ -221,13 +221,15 @@ def _quoted(items: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(items, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "), F.lit("]"))
 
 
-def raw_tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_tenders(spark: SparkSession, sf_dir: str, valid_ids: bool = False) -> DataFrame:
     """Nested tender table: level columns, ``id`` and the winning party's fields."""
     orders = table(spark, sf_dir, "orders")
     o, c = F.col("o_orderkey"), F.col("o_custkey")
     n = (o % 3 + 1).cast("int")
     at = F.sequence(F.lit(0), n - 1)
     ids = F.transform(at, lambda i: F.concat(F.lit("B"), F.lpad((c + i).cast("string"), 8, "0")))
+    if valid_ids:
+        ids = F.transform(at, lambda i: cif_text(F.lit("B"), c + i))
     names = F.transform(at, lambda i: F.concat(F.lit(" Empresa "), (c + i).cast("string"), F.lit(" ")))
     flags = F.transform(at, lambda i: F.when(i % 2 == 0, F.lit("True")).otherwise(F.lit("False")))
     cities = F.transform(at, lambda i: F.concat(F.lit("City "), ((c + i) % 9).cast("string")))

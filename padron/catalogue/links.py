@@ -9,6 +9,7 @@ from padron.catalogue.fixtures import COMPANIES_SQL, CONSORTIA_SQL, alike_sql, c
 from padron.catalogue.registry import query
 from padron.functions.text import fold_accents, strip_boilerplate
 from padron.operators.linkage import (
+    assemble_stops,
     containment_join,
     distinctive_tokens,
     exclude_names,
@@ -344,3 +345,20 @@ def q_distinct_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = words_of(table(spark, sf_dir, "part"), "p_name")
     folded = fold_accents(F.lower("term")).alias("term")
     return texts.unionByName(names).select(folded).distinct()
+
+
+@query(
+    f"""
+    WITH {COMPANIES_SQL}, {STOPS_SQL}
+    SELECT DISTINCT term FROM (
+      SELECT lower(unnest(string_split(p_name, ' '))) AS term FROM part
+      UNION ALL SELECT lower(unnest(string_split(c_name, ' '))) FROM customer
+      UNION ALL SELECT lower(r_name) FROM region UNION ALL SELECT lower(n_name) FROM nation
+      UNION ALL SELECT lower(term) FROM stops)
+    """
+)
+def q_assemble_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two name lists, two word lists and the frequency list in one table."""
+    names = [(table(spark, sf_dir, "part"), "p_name"), (table(spark, sf_dir, "customer"), "c_name")]
+    words = [table(spark, sf_dir, t).select(F.col(c).alias("term")) for t, c in (("region", "r_name"), ("nation", "n_name"))]
+    return assemble_stops(names, words, _stops(companies(spark, sf_dir).withColumnRenamed("Name", "company")))

@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padron.catalogue.fixtures import FULL_MENTIONS_SQL, MENTIONS_SQL, mentions, province_sql, raw_mentions, table
+from padron.catalogue.fixtures import (
+    FULL_MENTIONS_SQL,
+    MENTIONS_SQL,
+    TENDERS_SQL,
+    cif_text_sql,
+    mentions,
+    province_sql,
+    raw_mentions,
+    raw_tenders,
+    table,
+)
 from padron.catalogue.registry import query
 from padron.operators.mentions import clean_mentions_once
 from padron.operators.resolve import (
@@ -29,6 +39,7 @@ from padron.operators.survivorship import (
     value_frequency,
     weighted_mode,
 )
+from padron.plans.chain import companies_from_tenders
 from padron.plans.company_table import company_tables, output_columns
 from padron.sources.staging import stage
 
@@ -315,3 +326,22 @@ def q_company_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT DISTINCT nif AS "NIF", name AS used_name FROM (SELECT nif, "Name" AS name FROM assigned UNION SELECT nif, "Name_proc" FROM assigned)""")
 def q_entity_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return company_tables(raw_mentions(spark, sf_dir)).used_names
+
+
+@query(
+    f"""
+    WITH {TENDERS_SQL},
+    seen AS (
+      SELECT c + i AS k, count(*) AS n_mentions, bool_and(NOT no_flag AND i % 2 = 0) AS pyme, bool_or(NOT no_city) AS placed
+      FROM winners WHERE NOT no_id AND NOT short AND (c + i) % 100 NOT IN (69, 89) AND c + i > 0 GROUP BY 1)
+    SELECT {cif_text_sql("'b'", "k")} AS "NIF", 'empresa ' || k AS "FullName", 'empresa ' || k AS "Name",
+           {province_sql("lpad(CAST(k % 100 AS VARCHAR), 2, '0')")} AS "Province", 'CIF' AS "NIFtype", 's.l.' AS "CompanyType",
+           'Sociedades de responsabilidad limitada' AS "CompanyDescription", pyme AS "isPYME",
+           CASE WHEN placed THEN 'city ' || (k % 9) END AS "City", n_mentions
+    FROM seen
+    """
+)
+def q_tenders_to_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole way from nested tenders to the company table."""
+    tables = companies_from_tenders(raw_tenders(spark, sf_dir, valid_ids=True), ["level", "entry"])
+    return output_columns(tables.companies, ("City", "n_mentions"))

@@ -8,13 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
-from itertools import combinations, pairwise
-from zlib import crc32
+from itertools import combinations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
 
 from padron.functions.fuzzy import beats, edit_budget, lcs, ratio_from_lcs
 from padron.functions.text import TOKEN_SEPARATORS, fold_accents, is_digits
@@ -122,10 +119,13 @@ def tokens(c: Column) -> Column:
     )
 
 
-def separator_terms(spark: SparkSession) -> DataFrame:
+def separator_terms(spark: SparkSession, types: DataFrame | None = None) -> DataFrame:
+    """Legal forms and signs that are no names: the fixed ones, and those of ``types(CompanyType)``."""
     forms = [row[2].split(",")[0] for row in ENTITY_LETTERS if row[2]]
-    terms = sorted({*forms, *EXTRA_MARKERS, *OTHER_SEPARATORS})
-    return spark.createDataFrame([(t,) for t in terms], "term string")
+    terms = spark.createDataFrame([(t,) for t in sorted({*forms, *EXTRA_MARKERS, *OTHER_SEPARATORS})], "term string")
+    if types is None:
+        return terms
+    return terms.unionByName(types.select(F.lower("CompanyType").alias("term")).dropna()).distinct()
 
 
 def stop_terms(lists: Iterable[DataFrame], column: str = "term") -> DataFrame:
@@ -134,18 +134,29 @@ def stop_terms(lists: Iterable[DataFrame], column: str = "term") -> DataFrame:
     return reduce(DataFrame.unionByName, folded).distinct()
 
 
+def assemble_stops(
+    names: Iterable[tuple[DataFrame, str]], words: Iterable[DataFrame], frequent: DataFrame
+) -> DataFrame:
+    """The stop table: words of surname and given-name columns, word lists and the frequency list.
+
+    ``words`` and ``frequent`` have a column ``term``; all terms come in lower case.
+    """
+    lists = [words_of(df, column) for df, column in names] + [*words, frequent]
+    return stop_terms([df.select(F.lower("term").alias("term")) for df in lists])
+
+
 def words_of(df: DataFrame, column: str) -> DataFrame:
     """Single words of multi-word entries, distinct."""
     return df.select(F.explode(F.split(column, " ")).alias("term")).distinct()
 
 
-def distinctive_tokens(names: DataFrame, name: str, stops: DataFrame | None) -> DataFrame:
-    """``name, token``: tokens longer than three characters, not numeric, not a stop term."""
+def distinctive_tokens(names: DataFrame, name: str, stops: DataFrame | None, types: DataFrame | None = None) -> DataFrame:
+    """``name, token``: tokens longer than three characters, not numeric, not a stop term or a legal form."""
     exploded = names.select(name, F.explode(tokens(F.col(name))).alias("token")).filter(
         (F.length("token") >= MIN_TOKEN) & ~is_digits(F.col("token"))
     )
     distinct = exploded.distinct()
-    terms = separator_terms(names.sparkSession)
+    terms = separator_terms(names.sparkSession, types)
     terms = terms if stops is None else stop_terms([terms, stops])
     return distinct.join(terms.withColumnRenamed("term", "token"), "token", "left_anti").select(name, "token")
 
@@ -203,16 +214,14 @@ def _character_keys(names: DataFrame, name: str) -> DataFrame:
     )
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def _pair_slices(names: pd.Series, budgets: pd.Series) -> pd.Series:
+def _pair_slices(name: Column, budget: Column) -> Column:
     """Adjacent character pairs of a name dealt into ``4 * budget`` classes, in order within each."""
-    out = []
-    for name, budget in zip(names, budgets):
-        slices = [""] * (4 * budget)
-        for a, b in pairwise(name):
-            slices[crc32((a + b).encode()) % len(slices)] += a + b
-        out.append(slices)
-    return pd.Series(out)
+    classes = 4 * budget
+    starts = F.filter(F.sequence(F.lit(1), F.length(name)), lambda i: i < F.length(name))
+    dealt = F.transform(starts, lambda i: F.struct(F.substr(name, i, F.lit(2)).alias("pair")))
+    dealt = F.transform(dealt, lambda p: F.struct(p["pair"].alias("pair"), F.pmod(F.crc32(p["pair"]), classes).alias("slot")))
+    own = lambda k: F.transform(F.filter(dealt, lambda p: p["slot"] == k), lambda p: p["pair"])
+    return F.transform(F.sequence(F.lit(0), classes - 1), lambda k: F.array_join(own(k), ""))
 
 
 def _pair_keys(names: DataFrame, name: str) -> DataFrame:
@@ -225,7 +234,7 @@ def _pair_keys(names: DataFrame, name: str) -> DataFrame:
     empty = F.size(F.filter("_slices", lambda s: s == ""))
     return (
         names.filter(F.col("budget") >= LARGE_BUDGET)
-        .withColumn("_slices", _pair_slices(name, "budget"))
+        .withColumn("_slices", _pair_slices(F.col(name), F.col("budget")))
         .select(name, "budget", empty.alias("_empty"), F.posexplode("_slices").alias("slot", "_s"))
         .filter((F.col("_s") != "") | (F.col("_empty") >= F.col("budget")))
         .select(name, F.xxhash64("budget", "slot", "_s").alias("key"))

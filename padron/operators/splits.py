@@ -28,6 +28,12 @@ def default_markers() -> list[str]:
     return sorted({*forms, *EXTRA_MARKERS} - {CONSORTIUM_FORM})
 
 
+def company_markers(companies: DataFrame) -> list[str]:
+    """The legal forms that occur in the company table, a few dozen, and the extra spellings."""
+    forms = companies.select(F.lower("CompanyType").alias("form")).dropna().distinct().collect()
+    return sorted({*(row.form for row in forms), *EXTRA_MARKERS} - {CONSORTIUM_FORM, ""})
+
+
 def marker_pattern(markers: Sequence[str]) -> str:
     longest_first = sorted(set(markers), key=lambda m: (-len(m), m))
     return "(?:" + "|".join(re.escape(m).replace(r"\ ", r"\s") for m in longest_first) + ")"

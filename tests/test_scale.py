@@ -2,10 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from padron.operators.linkage import distinctive_tokens
 from padron.operators.quality import sample_rows
 from padron.operators.resolve import mention_items, regroup_items
-from padron.plans.company_table import tender_rows
-from padron.plans.register import found_by_id
+from padron.operators.splits import company_markers, split_consortium
+from padron.plans.chain import register_companies
+from padron.plans.company_table import CompanyTables, tender_rows
+from padron.plans.register import found_by_id, link_register, standardise_register
 from padron.sources.staging import checkpoint_root, drop_staged, stage
 
 
@@ -56,3 +59,25 @@ def test_staged_tables_can_be_dropped(spark):
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
     assert not path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
     context.setCheckpointDir(before)
+
+
+def test_legal_forms_come_from_the_data(spark):
+    firms = spark.createDataFrame([("acme", "kft."), ("bravo", "s.a."), ("zulu", None), ("ute", "u.t.e.")], "FullName string, CompanyType string")
+    joint = spark.createDataFrame([("acme kft. bravo s.a.",)], "FullName string")
+    assert "kft." in company_markers(firms) and "u.t.e." not in company_markers(firms)
+    pieces = split_consortium(joint, "FullName", markers=company_markers(firms)).first().pieces
+    assert pieces == ["acme kft.", "bravo s.a."]
+    forms = spark.createDataFrame([("gmbhx",)], "CompanyType string")
+    names = spark.createDataFrame([("norte gmbhx",)], "company string")
+    assert [r.token for r in distinctive_tokens(names, "company", None, forms).collect()] == ["norte"]
+
+
+def test_register_reads_the_company_table(spark):
+    companies = spark.createDataFrame([("12345678z", "acme", True)], "NIF string, Name string, isPYME boolean")
+    used = spark.createDataFrame([("12345678z", "acme"), ("12345678z", "acme s.l.")], "NIF string, used_name string")
+    firms = register_companies(CompanyTables(companies, companies.limit(0), companies.limit(0), used))
+    raw = spark.createDataFrame([(1, "12345678-Z", "Other", "N"), (2, None, "ACME, S.L.", "N"), (3, None, "None", "N")], "ID_EMPRESA int, NIF string, NOMBRE string, UTE string")
+    links = link_register(standardise_register(raw), firms)
+    names = {(r.ID_EMPRESA, r.value) for r in links.values.filter("attribute = 'company'").collect()}
+    assert names == {(1, "12345678z"), (2, "12345678z")}
+    assert [r.ID_EMPRESA for r in links.not_found.collect()] == [3]
