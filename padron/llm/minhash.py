@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +43,7 @@ BANDS, ROWS = 40, 4
 SIMILARITY_PERCENT = 75
 #: Bits of the filter for ids whose sets are needed (8 MB).
 FILTER_BITS = 1 << 26
+_SLOT = "_id_slot"
 #: Sets below this size have too few independent registers to be judged by them.
 ESTIMATE_FROM = 64
 #: Five standard deviations of the share of 256 equal registers at 0.75.
@@ -147,12 +149,29 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _slot() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+
+
+def _bitmap(ids: DataFrame):
+    """Broadcast bitmap of FILTER_BITS hashed ids, which have no null. Its size is fixed:
+    where it fills up it passes more ids than it should, and never misses one."""
+    words = ids.select(_slot().alias("slot")).groupBy(F.shiftright("slot", 6).alias("word"))
+    found = words.agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS >> 6, np.uint64)
+    bits[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return ids.sparkSession.sparkContext.broadcast(bits)
+
+
+def _in_bitmap(bits: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+    slot = batch.column(batch.schema.get_field_index(_SLOT)).fill_null(0).to_numpy(zero_copy_only=False)
+    return (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) > 0
+
+
 def _sets(wanted) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = wanted.value
         for batch in batches:
-            slot = batch.column(batch.schema.get_field_index("slot")).to_numpy()
-            batch = batch.filter(pa.array((bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) > 0))
+            batch = batch.filter(pa.array(_in_bitmap(wanted.value, batch)))
             for start, end, data, bounds in chunks(batch):
                 words = Words(data, bounds)
                 row, found = shingles(words)
@@ -164,6 +183,12 @@ def _sets(wanted) -> object:
     return run
 
 
+def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, grams, registers of at least the documents whose id is in ``ids``; no text is shuffled."""
+    texts = docs.filter("doc_id IS NOT NULL").withColumn(_SLOT, _slot())
+    return stage(texts.mapInArrow(_sets(_bitmap(ids)), SETS), "sets")
+
+
 def _estimate(a: Column, b: Column) -> Column:
     same = F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     return (same / BUCKETS - COLLISION) / (1 - COLLISION)
@@ -284,6 +309,23 @@ def _links(labels: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each_group(documents: DataFrame) -> DataFrame:
-    """Rows of ``documents`` without those linked to a smaller doc_id; columns unchanged."""
-    dropped = link_duplicates(documents).filter("NOT kept").select("doc_id").distinct()
-    return documents.join(dropped, "doc_id", "left_anti").select(*documents.columns)
+    """Rows of ``documents`` without those linked to a smaller doc_id; columns unchanged.
+
+    Most texts stay where they are: only rows that a bitmap of the dropped ids lets pass
+    are joined with these ids.
+    """
+    dropped = stage(link_duplicates(documents).filter("NOT kept").select("doc_id").distinct(), "dropped")
+    bits = _bitmap(dropped)
+
+    def part(inside: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                known = pa.compute.is_valid(batch.column(batch.schema.get_field_index("doc_id"))).to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array((_in_bitmap(bits.value, batch) & known) == inside))
+
+        return run
+
+    marked = documents.withColumn(_SLOT, _slot())
+    sure = marked.mapInArrow(part(False), marked.schema)
+    rest = marked.mapInArrow(part(True), marked.schema).join(dropped, "doc_id", "left_anti")
+    return sure.unionByName(rest).select(*documents.columns)
