@@ -69,8 +69,31 @@ FORMS = [
     (" S.A.T.", "s.a.t."),
     (" Inc.", "inc."),
     (" Ltd", "ltd."),
+    (" Sociedad Limitada Laboral", "s.l.l."),
+    (" Sociedad Limitada Unipersonal", "s.l.u."),
+    (" Sociedad Limitada Profesional", "s.l.p."),
+    (" Sociedad Anónima Laboral", "s.a.l."),
+    (" Sociedad Anónima Deportiva", "s.a.d."),
+    (" Sociedad Anónima Española", "s.a.e."),
+    (" Sociedad Civil", "s.e.n.c."),
+    (" Sociedad Civil Privada", "s.c.p."),
+    (" Sociedad Civil Particular", "s.c.p."),
+    (" S C O O P", "c.o.o.p."),
+    (" S.C.A", "s.c.a."),
+    (" S.C.L.", "s.c.l."),
+    (", SCI", "s.c.i."),
+    (" Sociedad de Garantía Recíproca", "s.g.r."),
+    (" Sociedad Irregular", "s.i."),
+    (" Sociedad Regular Colectiva", "s.r.c."),
+    (" Sucursal en España", "s.e.e."),
+    (" Sociedad en Comandita", "s.e.n.c."),
+    (" Agrupación de Interés Económico", "a.i.e."),
+    (" Agrupación Europea de Interés Económico", "a.e.i.e."),
+    (" Co", "co."),
     ("", ""),
 ]
+#: Canonical forms that their own spelling rule does not match, and which stay.
+STAYING = ("s.e.n.c.", "s.e.e.")
 
 
 def _spelt(key: Column) -> Column:
@@ -86,6 +109,11 @@ def _canonical_sql(key: str) -> str:
     return f"(CASE {key} % {len(FORMS)} {cases} END)"
 
 
+def _staying_sql(key: str) -> str:
+    cases = " ".join(f"WHEN {i} THEN ' {form}'" for i, (_, form) in enumerate(FORMS) if form in STAYING)
+    return f"(CASE {key} % {len(FORMS)} {cases} ELSE '' END)"
+
+
 LINES = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 LINE_SQL = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
@@ -120,7 +148,7 @@ def q_legal_form_standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _named_lines(spark, sf_dir).select(*LINES, standardise_legal_form(raw).alias("name"))
 
 
-@query(f"SELECT {LINE_SQL}, p_name AS name FROM lineitem JOIN part ON l_partkey = p_partkey")
+@query(f"SELECT {LINE_SQL}, p_name || {_staying_sql('l_suppkey')} AS name FROM lineitem JOIN part ON l_partkey = p_partkey")
 def q_legal_form_remove(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.lower(F.concat("p_name", _spelt(F.col("l_suppkey"))))
     full = _named_lines(spark, sf_dir).select(*LINES, standardise_legal_form(raw).alias("name"))
@@ -138,7 +166,7 @@ def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-    SELECT {LINE_SQL}, p_name || {_canonical_sql("l_suppkey")} AS full_name, p_name AS bare_name
+    SELECT {LINE_SQL}, p_name || {_canonical_sql("l_suppkey")} AS full_name, p_name || {_staying_sql("l_suppkey")} AS bare_name
     FROM lineitem JOIN part ON l_partkey = p_partkey
     """
 )

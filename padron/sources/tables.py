@@ -74,7 +74,8 @@ def tender_lists(df: DataFrame, levels: Iterable[str]) -> DataFrame:
         is_array = isinstance(field.dataType, T.ArrayType)
         cell = F.col(field.name) if is_array else F.col(field.name).cast("string")
         lists.append(list_cell(cell, is_array, lower=field.name != "id_tender").alias(field.name))
-    return party.select("identifier", *lists)
+    # generated columns: a filter on them is not pushed below, where it would parse every cell again
+    return party.select("identifier", F.inline(F.array(F.struct(*lists))))
 
 
 def read_lookup(spark: SparkSession, path: str, columns: Iterable[str], separator: str = ";") -> DataFrame:
