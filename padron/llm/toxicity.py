@@ -140,6 +140,7 @@ def train(texts: list[str], toxic: list[int]) -> tuple[np.ndarray, float]:
         seen.update(zip(keys[new].tolist(), known[new].tolist(), strict=True))
         if len(new):
             bags = Bags(words)
+            bags.slot = bags.slot.astype(np.int32)
             order = np.argsort(bags.word, kind="stable")
             edge = np.searchsorted(bags.word[order], np.arange(len(words) + 1))
             for w in where[new].tolist():
@@ -147,8 +148,8 @@ def train(texts: list[str], toxic: list[int]) -> tuple[np.ndarray, float]:
                 bag_sizes.append(edge[w + 1] - edge[w])
         ids = known[ids]
         documents += [ids[a : min(b, a + TRAINING_WORDS)] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
-    slots, sizes = np.concatenate(bag_slots), np.array(bag_sizes)
-    word_of = np.repeat(np.arange(len(sizes)), sizes)
+    slots, sizes = np.concatenate(bag_slots).astype(np.int32), np.array(bag_sizes)
+    word_of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     tokens = np.concatenate(documents)
     times = np.bincount(slots, np.bincount(tokens, minlength=len(sizes))[word_of], 1 << TABLE_BITS)
     common = times[slots] >= LEAST_TIMES
@@ -221,12 +222,22 @@ def learn(documents: DataFrame, labels: DataFrame) -> tuple[bytes, float]:
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # words beyond the training bound needn't travel
     head = F.array_join(F.slice(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", TRAINING_WORDS + 2), 1, TRAINING_WORDS + 1), " ")
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", head.alias("text")).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.text))
-    table, bias = train([r.text for r in rows], [int(r.toxic) for r in rows])
+    sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", head.alias("text"))
+    # the bounded sample fits one task, which hands back a model of fixed size
+    model = sample.repartition(1).mapInArrow(_train, "logits binary, bias double").collect()
+    return (bytes(model[0].logits), model[0].bias) if model else _packed(*train([], []))
+
+
+def _packed(table: np.ndarray, bias: float) -> tuple[bytes, float]:
     return table.astype(np.float32).tobytes(), bias
 
 
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = sorted(((r["doc_id"], r["text"], r["toxic"]) for b in batches for r in b.to_pylist()), key=lambda r: r[:2])
+    logits, bias = _packed(*train([r[1] for r in rows], [int(r[2]) for r in rows]))
+    yield pa.record_batch([pa.array([logits], pa.binary()), pa.array([bias])], ["logits", "bias"])
+
+
 def _scorer(spark, model: tuple[bytes, float]):
     shared = spark.sparkContext.broadcast(model)
 
