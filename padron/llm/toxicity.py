@@ -25,6 +25,8 @@ from padron.llm.words import POSITION, SPACES, Words, chunks, mix
 GRAMS = (3, 4, 5, 6)
 TABLE_BITS = 18
 DIMENSION = 8
+#: Bytes of text worked on at once; the n-grams take a hundred times as much.
+CHUNK = 1 << 17
 WINDOW, STRIDE = 1, 1
 #: A document's logit is the mean over this many of its most toxic windows.
 TOP = 3
@@ -126,8 +128,8 @@ def train(texts: list[str], toxic: list[int]) -> tuple[np.ndarray, float]:
     batch = pa.record_batch([pa.array(texts, pa.string())], ["text"])
     documents = []  # word ids of each document
     seen: dict[int, int] = {}
-    bag_slots, bag_sizes = [], []
-    for start, _, data, bounds in chunks(batch):
+    bag_slots, bag_words = [], []
+    for _, _, data, bounds in chunks(batch, limit=CHUNK):
         words = Words(data, bounds)
         if not len(words):
             documents += [np.zeros(0, np.int64)] * words.rows
@@ -140,16 +142,17 @@ def train(texts: list[str], toxic: list[int]) -> tuple[np.ndarray, float]:
         seen.update(zip(keys[new].tolist(), known[new].tolist(), strict=True))
         if len(new):
             bags = Bags(words)
-            bags.slot = bags.slot.astype(np.int32)
-            order = np.argsort(bags.word, kind="stable")
-            edge = np.searchsorted(bags.word[order], np.arange(len(words) + 1))
-            for w in where[new].tolist():
-                bag_slots.append(bags.slot[order[edge[w] : edge[w + 1]]])
-                bag_sizes.append(edge[w + 1] - edge[w])
+            number = np.full(len(words), -1, np.int32)
+            number[where[new]] = known[new]
+            own = number[bags.word]
+            bag_slots.append(bags.slot[own >= 0].astype(np.int32))
+            bag_words.append(own[own >= 0])
         ids = known[ids]
         documents += [ids[a : min(b, a + TRAINING_WORDS)] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
-    slots, sizes = np.concatenate(bag_slots).astype(np.int32), np.array(bag_sizes)
-    word_of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    if not bag_slots:
+        return table, float(np.log(label.mean() / (1 - label.mean())))
+    slots, word_of = np.concatenate(bag_slots), np.concatenate(bag_words)
+    sizes = np.bincount(word_of, minlength=len(seen))
     tokens = np.concatenate(documents)
     times = np.bincount(slots, np.bincount(tokens, minlength=len(sizes))[word_of], 1 << TABLE_BITS)
     common = times[slots] >= LEAST_TIMES
@@ -258,7 +261,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end, data, bounds in chunks(batch):
+            for start, end, data, bounds in chunks(batch, limit=CHUNK):
                 yield pa.record_batch([batch.column(0).slice(start, end - start), pa.array(score(data, bounds))], ["doc_id", "score"])
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -272,7 +275,7 @@ def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end, data, bounds in chunks(batch):
+            for start, end, data, bounds in chunks(batch, limit=CHUNK):
                 yield batch.slice(start, end - start).filter(pa.array(score(data, bounds) < 0.5))
 
     return documents.mapInArrow(run, documents.schema)

@@ -12,7 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _BYTES = np.arange(256)
 #: Separators of `[^\x20\x09-\x0D]+` words.
