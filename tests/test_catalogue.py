@@ -46,3 +46,8 @@ def test_joins_between_names_compare_no_cross_product(spark):
     for name in ("q_phrase_containment_join", "q_token_overlap_join", "q_fuzzy_join", "q_link_consortia", "q_register_merge"):
         plan = QUERIES[name](spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_dictionary_hits_in_all_six_ways_of_writing_a_consortium(spark):
+    rows = QUERIES["q_ngram_dictionary_join_all_styles"](spark, str(DATA)).collect()
+    assert {r.o % 6 for r in rows} == set(range(6))
