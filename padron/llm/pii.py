@@ -85,12 +85,13 @@ def _length(low: int, high: int) -> Callable[[Column], Column]:
 
 
 # Fixed patterns of the base kinds. A run of characters that may start an address is entered
-# at its first character or where the last match ended: later ones would fail alike.
+# at its first character or where the last match ended: later ones would fail alike. Groups
+# repeat possessively: Java matches those in a loop, others by recursion on the stack.
 _LOCAL = "[A-Za-z0-9._%+-]"
 SEARCHES = (
-    Kind("email", rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(\.[A-Za-z0-9-]++)+", "@", lambda m: F.lit(True), True),
+    Kind("email", rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", lambda m: F.lit(True), True),
     Kind("ip", r"[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)", r"[0-9]\.[0-9]++\.[0-9]", _address, True),
-    Kind("card", r"[0-9]([\x20-]?[0-9])+", "[0-9](?:[\\x20-]?[0-9]){15}", lambda m: F.when(_length(16, 19)(m), luhn(_digits(m))).otherwise(False), True),
+    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", "[0-9](?:[\\x20-]?[0-9]){15}", lambda m: F.when(_length(16, 19)(m), luhn(_digits(m))).otherwise(False), True),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", _length(8, 15), True),
     # what the base rules miss
     Kind("card", r"(?<![0-9][\x20-]?)3[47][0-9]{2}[\x20-]?[0-9]{6}[\x20-]?[0-9]{5}(?![\x20-]?[0-9])", "3[47][0-9]{2}", lambda m: luhn(_digits(m)), False, 0.4, 0.4),

@@ -113,6 +113,14 @@ def test_personal_data_beyond_the_base(spark):
     assert got == ["iban:12:39", "", "card:5:22", "", "phone:7:21", ""]
 
 
+def test_personal_data_in_long_runs(spark):
+    digits = "card 4111 1111 1111 1111, then " + "3 " * 100_000
+    cases = [digits, "4111-1111-1111-1111 " + "7" * 100_000, "write to a@b" + ".c" * 100_000 + " now"]
+    got = pii.digest(pii.find_personal_data(documents(spark, cases))).orderBy("doc_id").collect()
+    assert [(r.n_email, r.n_card) for r in got] == [(0, 1), (0, 0), (1, 0)]
+    assert [r.base_sha256 for r in got] == [sha(",".join(personal(c))) for c in cases]
+
+
 def test_mask(spark):
     docs = documents(spark, ["to a@b.cc and 10.0.0.1!", "nothing", None])
     found = pii.find_personal_data(docs).join(docs, "doc_id").orderBy("doc_id")
