@@ -6,7 +6,7 @@ context. For each n-gram a table holds how much it moves the log-likelihood rati
 last character beyond the shorter n-gram, so the ratio of a URL is the sum over the
 n-grams it has in the table: where a long context was never seen, the sum ends with the
 longest that was. The ratio divided by the URL's length is compared with a threshold
-calibrated on the rule-decided URLs.
+calibrated on the rule-decided URLs. Rules see host and path, the models the whole URL.
 """
 
 from __future__ import annotations
@@ -29,10 +29,20 @@ def split_url(url: Column) -> tuple[Column, Column]:
     """Host and path; both empty for null and for text without ``://``."""
     rest = F.when(F.instr(url, "://") > 0, F.regexp_replace(url, r"(?s)^.*?://", "")).otherwise("")
     rest = F.coalesce(rest, F.lit(""))
-    host = F.translate(F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    host = _lower(F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1))
     return host, F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)
 
 
+def whole_url(url: Column) -> Column:
+    """Everything from scheme to fragment, the host after ``://`` in lower case; empty for null."""
+    parts = [F.regexp_extract(url, r"(?s)^(.*?://)([^/?#]*)(.*)$", k) for k in (1, 2, 3)]
+    return F.coalesce(F.when(F.instr(url, "://") > 0, F.concat(parts[0], _lower(parts[1]), parts[2])).otherwise(url), F.lit(""))
+
+
+def _lower(c: Column) -> Column:
+    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def matching_rule(host: Column, path: Column, rules: dict[str, str] = RULES) -> Column:
     """The longest rule that fits; null when none does."""
     found = None
@@ -112,14 +122,14 @@ def threshold(scores: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, score for every row of ``pages(page_id, url)``.
 
-    Null urls and urls without ``://`` have an empty host and path, fit no rule, and like
-    every url without a scored n-gram are allowed. Repeated rows get equal results; other
+    Null urls and urls without ``://`` have an empty host and path and fit no rule. Urls
+    without a scored n-gram, so null and empty ones, are allowed. Repeated rows get equal results; other
     columns are ignored; an empty table gives no rows.
     """
     host, path = split_url(F.col("url"))
     rows = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
     rows = rows.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
-    rows = stage(rows.withColumn("text", F.concat("host", "path")).drop("url"), "urls")
+    rows = stage(rows.withColumn("text", whole_url(F.col("url"))).drop("url"), "urls")
     ruled = rows.withColumn("ruled", _verdict(F.col("rule"), rules))
     labelled = ruled.filter("ruled IS NOT NULL").select("text", (F.col("ruled") == "allow").alias("accepted"))
     scores = stage(score_urls(rows, gram_ratios(labelled)), "scores")

@@ -135,6 +135,15 @@ def test_url_ratios_against_plain_python(spark):
         assert abs(got[t] - (model(yes, t) - model(no, t)) / len(t)) < 1e-9
 
 
+def test_urls_are_scored_whole(spark):
+    rows = [(i, f"http://a{i % 5}.net/go?u=casino-win{i}") for i in range(40)] + [(100 + i, f"http://a{i % 5}.org/fr/go?page={i}") for i in range(40)]
+    rows += [(200, "http://x.org/go?page=7"), (201, "http://X.org/go?u=casino-win"), (202, "casino-win.com/a"), (203, "x.org/go#u=casino-win"), (204, None), (205, "")]
+    got = {r.page_id: r for r in urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert [got[i].verdict for i in range(200, 206)] == ["allow", "block", "block", "block", "allow", "allow"]
+    assert (got[201].host, got[201].path, got[202].host, got[202].path) == ("x.org", "/go", "", "")
+    assert got[204].score is got[205].score is None
+
+
 def test_urls_without_rules_or_pages(spark):
     pages = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
     assert [r.verdict for r in urls.judge_urls(pages, {}).collect()] == ["allow"]
