@@ -30,9 +30,8 @@ CHUNK = 1 << 17
 WINDOW, STRIDE = 1, 1
 #: A document's logit is the mean over this many of its most toxic windows.
 TOP = 3
-#: Bounds of the training sample: documents of the smallest hashes, and words of each.
+#: Bound of the training sample: whole documents of the smallest hashes.
 TRAINING_DOCUMENTS = 3000
-TRAINING_WORDS = 600
 EPOCHS, WARM_UP, RATES, DECAY = 100, 30, (20.0, 0.1, 0.2), 1e-4
 #: Factor on averages, so that small vectors give large logits.
 SHARPNESS = 16.0
@@ -119,14 +118,18 @@ def score_rows(words: Words, table: np.ndarray, bias: float) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(mean, -60, 60)))
 
 
-def train(texts: list[str], toxic: list[int]) -> tuple[np.ndarray, float]:
-    """Folded n-gram logits and the bias. With one class only, every text gets its prior."""
+def train(texts: list[str], counts: list[bytes], toxic: list[int]) -> tuple[np.ndarray, float]:
+    """Folded n-gram logits and the bias, from distinct words and their counts as ``_condense`` gives them.
+
+    A window is a word here, so counts say all that the loss takes from a text. With one
+    class only, every text gets its prior.
+    """
     table = np.zeros(1 << TABLE_BITS)
     label = np.array(toxic, float)
     if not len(label) or label.min() == label.max():
         return table, 4.0 if len(label) and label[0] else -4.0
     batch = pa.record_batch([pa.array(texts, pa.string())], ["text"])
-    documents = []  # word ids of each document
+    documents = []  # ids of each document's distinct words
     seen: dict[int, int] = {}
     bag_slots, bag_words = [], []
     for _, _, data, bounds in chunks(batch, limit=CHUNK):
@@ -148,27 +151,31 @@ def train(texts: list[str], toxic: list[int]) -> tuple[np.ndarray, float]:
             bag_slots.append(bags.slot[own >= 0].astype(np.int32))
             bag_words.append(own[own >= 0])
         ids = known[ids]
-        documents += [ids[a : min(b, a + TRAINING_WORDS)] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
+        documents += [ids[a:b] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
     if not bag_slots:
         return table, float(np.log(label.mean() / (1 - label.mean())))
     slots, word_of = np.concatenate(bag_slots), np.concatenate(bag_words)
     sizes = np.bincount(word_of, minlength=len(seen))
-    tokens = np.concatenate(documents)
-    times = np.bincount(slots, np.bincount(tokens, minlength=len(sizes))[word_of], 1 << TABLE_BITS)
+    tokens, n = np.concatenate(documents), np.frombuffer(b"".join(counts), "<i8")
+    times = np.bincount(slots, np.bincount(tokens, n, len(sizes))[word_of], 1 << TABLE_BITS)
     common = times[slots] >= LEAST_TIMES
     used, slots = np.unique(slots[common], return_inverse=True)
-    folded, bias = _fit(label, len(used), slots, word_of[common], sizes, tokens, np.array([len(d) for d in documents]))
+    # no more than TOP of a document's equal words can be among its TOP windows; these weigh as much as all
+    kept = np.minimum(n, TOP)
+    count = np.bincount(np.repeat(np.arange(len(documents)), [len(d) for d in documents]), kept, len(documents)).astype(np.int64)
+    folded, bias = _fit(label, len(used), slots, word_of[common], sizes, np.repeat(tokens, kept), np.repeat(n / kept, kept), count)
     table[used] = folded
     return table, bias
 
 
-def _fit(label, n_slots, slots, word_of, sizes, tokens, count) -> tuple[np.ndarray, float]:
+def _fit(label, n_slots, slots, word_of, sizes, tokens, weight, count) -> tuple[np.ndarray, float]:
     """Full-batch gradient descent with momentum on vectors and softmax together; a document's loss is that of its windows.
 
-    In the warm-up all windows of a document share its gradient by a soft maximum, then its
-    TOP most toxic windows do.
+    A window is one token; in the warm-up, when all windows of a document share its gradient
+    by a soft maximum, it counts ``weight`` times. Then its TOP most toxic windows share it.
     """
-    row, begin, end = windows(count, np.cumsum(count) - count)
+    row = np.repeat(np.arange(len(count)), count)
+    begin, end = np.arange(len(tokens)), np.arange(1, len(tokens) + 1)
     docs, first, steps = np.unique(row, return_index=True, return_counts=True)
     span, inverse = end - begin, 1 / sizes
     rng = np.random.default_rng(5)
@@ -181,7 +188,7 @@ def _fit(label, n_slots, slots, word_of, sizes, tokens, count) -> tuple[np.ndarr
         sums = np.concatenate(([0.0], np.cumsum(word[tokens])))
         score = (sums[end] - sums[begin]) / span * SHARPNESS + bias
         if epoch <= WARM_UP:
-            spot = np.exp((score - np.repeat(np.maximum.reduceat(score, first), steps)) * 0.5)
+            spot = weight * np.exp((score - np.repeat(np.maximum.reduceat(score, first), steps)) * 0.5)
             spot /= np.repeat(np.add.reduceat(spot, first), steps)
         else:
             chosen, n = top_windows(row, score)
@@ -223,21 +230,38 @@ def learn(documents: DataFrame, labels: DataFrame) -> tuple[bytes, float]:
         .limit(TRAINING_DOCUMENTS)
     )
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # words beyond the training bound needn't travel
-    head = F.array_join(F.slice(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", TRAINING_WORDS + 2), 1, TRAINING_WORDS + 1), " ")
-    sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", head.alias("text"))
+    sample = texts.join(F.broadcast(chosen.withColumn("toxic", F.col("toxic").cast("int"))), "doc_id").select("doc_id", "toxic", "text")
+    # of each text its distinct words travel
+    sample = sample.mapInArrow(_condense, "doc_id long, toxic int, text string, counts binary")
     # the bounded sample fits one task, which hands back a model of fixed size
     model = sample.repartition(1).mapInArrow(_train, "logits binary, bias double").collect()
-    return (bytes(model[0].logits), model[0].bias) if model else _packed(*train([], []))
+    return (bytes(model[0].logits), model[0].bias) if model else _packed(*train([], [], []))
 
 
 def _packed(table: np.ndarray, bias: float) -> tuple[bytes, float]:
     return table.astype(np.float32).tobytes(), bias
 
 
+def _condense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as their distinct words in order of first appearance, and how often each occurs."""
+    for batch in batches:
+        for start, end, data, bounds in chunks(batch, limit=CHUNK):
+            words = Words(data, bounds)
+            hashes = words.hashes()
+            texts, counts = [], []
+            for a, b in zip(words.first[:-1], words.first[1:], strict=True):
+                _, where, n = np.unique(hashes[a:b], return_index=True, return_counts=True)
+                order = np.argsort(where)
+                spans = zip(words.starts[a + where[order]], words.ends[a + where[order]], strict=True)
+                texts.append(b" ".join(words.data[i:j].tobytes() for i, j in spans))
+                counts.append(n[order].astype("<i8").tobytes())
+            part = batch.slice(start, end - start)
+            yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(counts, pa.binary())], ["doc_id", "toxic", "text", "counts"])
+
+
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = sorted(((r["doc_id"], r["text"], r["toxic"]) for b in batches for r in b.to_pylist()), key=lambda r: r[:2])
-    logits, bias = _packed(*train([r[1] for r in rows], [int(r[2]) for r in rows]))
+    rows = sorted((r["doc_id"], r["text"], r["counts"], r["toxic"]) for b in batches for r in b.to_pylist())
+    logits, bias = _packed(*train(*([r[k] for r in rows] for k in (1, 2, 3))))
     yield pa.record_batch([pa.array([logits], pa.binary()), pa.array([bias])], ["logits", "bias"])
 
 

@@ -61,6 +61,23 @@ def test_toxicity_of_misspelt_words(spark):
     assert (got[1000], got[1001]) == (1, 0)
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    rng = random.Random(4)
+    plain = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(400)]
+    rows = []
+    for i in range(200):
+        words = rng.choices(plain, k=800)
+        if i % 4 == 0:
+            for k in rng.sample(range(620, 800), 4):
+                words[k] = rng.choice(["wretched", "wretchedly", "rottener", "rotten"])
+        rows.append((i, " ".join(words), int(i % 4 == 0)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    new = [(1000, " ".join(plain[:30] + ["wretched", "rotten", "rottener"])), (1001, " ".join(plain[:30]))]
+    docs = frame.select("doc_id", "text").unionByName(spark.createDataFrame(new, "doc_id long, text string"))
+    got = {r.doc_id: r.predicted for r in score_toxicity(docs, frame.select("doc_id", "toxic")).collect()}
+    assert (got[1000], got[1001]) == (1, 0)
+
+
 def test_toxicity_without_labels(spark, documents, labels):
     assert {r.predicted for r in score_toxicity(documents, labels.limit(0)).collect()} == {0}
     assert score_toxicity(documents.limit(0), labels).count() == 0
