@@ -12,6 +12,9 @@ from padron.llm.mixing import taken_words
 from padron.llm.packing import pack_documents
 from padron.llm.quality import judge_quality
 from padron.llm.registry import ORACLES, QUERIES, query, table
+from padron.llm.resample import resample
+from padron.llm.search import rank_documents
+from padron.llm.sharding import shard_documents
 from padron.llm.toxicity import score_toxicity
 from padron.llm.urls import judge_urls
 
@@ -73,3 +76,43 @@ def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SEARCH_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+lengths AS (SELECT doc_id, len(terms) AS n FROM texts WHERE len(terms) > 0),
+totals AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+asked AS (
+  SELECT item_id, term, count(*)::BIGINT AS repeats FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY item_id, term),
+postings AS (
+  SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM texts)
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM postings GROUP BY term), totals),
+impacts AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))) AS impact
+  FROM postings JOIN lengths USING (doc_id) JOIN weights USING (term), totals),
+scores AS (SELECT item_id, doc_id, sum(repeats * impact)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query(SEARCH_SQL)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op13_shard_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
