@@ -58,34 +58,26 @@ def q_split_consortium(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.select("FullName", F.array_join(F.array_sort("pieces"), "|").alias("pieces"))
 
 
-@query(
-    f"""
+# Hits in all six ways of writing a consortium; a name with a comma at its end is no word n-gram.
+HITS_SQL = f"""
     WITH {CONSORTIA_SQL},
-    texts AS (SELECT DISTINCT o, trim(replace("FullName", 'u.t.e.', ' ')) AS t FROM consortia WHERE o % 6 IN (0, 2, 5)),
+    texts AS (SELECT DISTINCT o, trim(replace(replace("FullName", ' ley 18/1982 de 26 de mayo', ''), 'u.t.e.', ' ')) AS t FROM consortia),
     w AS (SELECT o, list_filter(string_split(t, ' '), lambda x: x <> '') AS ws FROM texts),
     spans AS (SELECT o, ws, i, unnest(range(i, len(ws) + 1)) AS j FROM (SELECT o, ws, unnest(range(1, len(ws) + 1)) AS i FROM w))
     SELECT o, array_to_string(ws[i:j], ' ') AS gram FROM spans WHERE array_to_string(ws[i:j], ' ') IN (SELECT "Name" FROM companies)
-    """
-)
+"""
+
+
+@query(HITS_SQL)
 def q_ngram_dictionary_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plain = consortia(spark, sf_dir).filter((F.col("o") % 6).isin(0, 2, 5))
-    texts = plain.select("o", strip_boilerplate(F.col("FullName")).alias("text"))
+    texts = consortia(spark, sf_dir).select("o", strip_boilerplate(F.col("FullName")).alias("text"))
     return dictionary_hits(texts, "text", companies(spark, sf_dir), "Name").select("o", "gram")
 
 
-@query(
-    f"""
-    WITH {CONSORTIA_SQL},
-    texts AS (SELECT DISTINCT o, trim(replace(replace("FullName", ' ley 18/1982 de 26 de mayo', ''), 'u.t.e.', ' ')) AS t FROM consortia),
-    w AS (SELECT o, list_filter(string_split(t, ' '), lambda x: x <> '') AS ws FROM texts),
-    spans AS (SELECT o, ws, i, unnest(range(i, len(ws) + 1)) AS j FROM (SELECT o, ws, unnest(range(1, len(ws) + 1)) AS i FROM w))
-    SELECT o, array_to_string(ws[i:j], ' ') AS gram FROM spans WHERE array_to_string(ws[i:j], ' ') IN (SELECT "Name" FROM companies)
-    """
-)
+@query(HITS_SQL)
 def q_ngram_dictionary_join_all_styles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hits in all six ways of writing a consortium; a name with a comma at its end is no word n-gram."""
-    texts = consortia(spark, sf_dir).select("o", strip_boilerplate(F.col("FullName")).alias("text"))
-    return dictionary_hits(texts, "text", companies(spark, sf_dir), "Name").select("o", "gram")
+    """The name under which the whole table was read before ``q_ngram_dictionary_join`` did."""
+    return q_ngram_dictionary_join(spark, sf_dir)
 
 
 # --- joins between names ---------------------------------------------------------------

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,6 +43,7 @@ LEGAL_FORMS: list[tuple[str, str]] = [
     (r"l(imi)?t(e)?d.", "ltd"),
     (r"co", "co"),
 ]
+# What may stand around a form.
 BEFORE_FORM = r"[\s.,-]*(?<![\w.])"
 AFTER_FORM = r"[\s.,-]*(?![\w.])"
 
@@ -48,10 +52,42 @@ def form_pattern(spelling: str) -> str:
     return "(?U)" + BEFORE_FORM + spelling.replace(".", r"[\s.]*") + AFTER_FORM
 
 
+def _first_word(spelling: str) -> str:
+    """The first word of any text that a spelling matches: its first parts written together, one at least."""
+    first, *others = spelling.split(".")
+    if re.fullmatch(r"\(.*\)\?", first):  # may be missing: then the form begins with the space before the next part
+        first, *others = first + r"[\s.]*" + others[0], *others[1:]
+    return first + "".join(f"(?:{part}" for part in others) + ")?" * len(others)
+
+
+def zone_pattern(spellings: Sequence[str]) -> str:
+    """Group 1: the text before the first word that could begin a form; group 2: the rest, with the signs before it."""
+    firsts = "|".join(f"(?:{_first_word(s)})" for s in spellings)
+    letters = "".join(sorted({re.sub(r"\W", "", s)[0] for s in spellings}))
+    return rf"(?Us)^(.*?)({BEFORE_FORM}(?=[\s.]*[{letters}])(?:{firsts})(?!\w).*)$"
+
+
+ZONE = zone_pattern([spelling for spelling, _ in LEGAL_FORMS])
+
+
 def _apply(c: Column, target) -> Column:
-    for spelling, form in LEGAL_FORMS:
-        c = F.regexp_replace(c, form_pattern(spelling), target(form))
-    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+    """The rules in order, on the part of the name that begins with the first possible form.
+
+    No rule matches before it, so most of a name is read once instead of once for each
+    rule. The character before the part goes with it, for the rules look back at it; a
+    letter or digit there becomes one that begins no form.
+    """
+
+    def rules(zone: Column) -> Column:
+        head = F.substr(c, F.lit(1), F.length(c) - F.length(zone))
+        sign = F.regexp_replace(F.right(head, F.lit(1)), r"(?U)\w", "x")
+        changed = F.concat(sign, zone)
+        for spelling, form in LEGAL_FORMS:
+            changed = F.regexp_replace(changed, form_pattern(spelling), target(form))
+        return F.concat(head, F.substr(changed, F.length(sign) + 1))
+
+    whole = F.get(F.transform(F.array(F.regexp_extract(c, ZONE, 2)), rules), 0)
+    return F.trim(F.regexp_replace(whole, r"(?U)\s+", " "))
 
 
 def standardise_legal_form(c: Column) -> Column:

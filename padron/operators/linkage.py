@@ -17,6 +17,7 @@ from padron.functions.fuzzy import beats, edit_budget, lcs, ratio_from_lcs
 from padron.functions.text import TOKEN_SEPARATORS, fold_accents, is_digits
 from padron.operators.splits import EXTRA_MARKERS
 from padron.sources.lookups import ENTITY_LETTERS
+from padron.sources.staging import stage
 
 # Further tokens that are never part of a company's own name.
 OTHER_SEPARATORS = ["sl", "slu", "s.", "scclp", "-", "_", ",", "+", ".", ".,"]
@@ -177,6 +178,13 @@ def token_overlap_join(
 
 # --- fuzzy ----------------------------------------------------------------------------
 
+def _identified(df: DataFrame, name: str) -> DataFrame:
+    """Distinct names with ``id``, ``size`` and ``bag``: for each kind of character whether its count is odd."""
+    distinct = df.select(F.col(name).alias("name")).filter("name <> ''").distinct()
+    letters = F.expr("aggregate(sequence(1, length(name)), 0L, (s, i) -> s ^ shiftleft(1L, ascii(substr(name, i, 1)) & 63))")
+    return distinct.select("name", F.xxhash64("name").alias("id"), F.length("name").alias("size"), letters.alias("bag"))
+
+
 # Characters in rough order of frequency; dealing them out in turn gives classes of even weight.
 CHARACTER_ORDER = " eaosrnidlctumpbgv.yqhfzj-0123456789ñxwkáéíóú,"
 OTHER_CHARACTER = "¤"
@@ -195,7 +203,7 @@ def dropped_characters(budget: int) -> list[str]:
     return ["".join(out) for out in combinations(dealt, budget)]
 
 
-def _character_keys(names: DataFrame, name: str) -> DataFrame:
+def _character_keys(names: DataFrame) -> DataFrame:
     """Keys for budgets below ``LARGE_BUDGET``: the name without some character classes.
 
     With a budget of k insertions and deletions and m > k character classes, at least
@@ -204,13 +212,13 @@ def _character_keys(names: DataFrame, name: str) -> DataFrame:
     """
     table = [(b, i, drop) for b in CHARACTER_CLASSES for i, drop in enumerate(dropped_characters(b))]
     slots = names.sparkSession.createDataFrame(table, "budget int, slot int, dropped string")
-    plain = F.regexp_replace(F.col(name), f"[^{CHARACTER_ORDER.replace('-', '')}\\-]", OTHER_CHARACTER)
+    plain = F.regexp_replace("name", f"[^{CHARACTER_ORDER.replace('-', '')}\\-]", OTHER_CHARACTER)
     kept = F.expr("translate(_plain, dropped, '')")
     return (
         names.filter(F.col("budget") < LARGE_BUDGET)
         .withColumn("_plain", plain)
         .join(F.broadcast(slots), "budget")
-        .select(name, F.xxhash64("budget", "slot", kept).alias("key"))
+        .select("id", "size", "bag", F.xxhash64("budget", "slot", kept).alias("key"))
     )
 
 
@@ -224,7 +232,7 @@ def _pair_slices(name: Column, budget: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), classes - 1), lambda k: F.array_join(own(k), ""))
 
 
-def _pair_keys(names: DataFrame, name: str) -> DataFrame:
+def _pair_keys(names: DataFrame) -> DataFrame:
     """Keys for larger budgets: the adjacent character pairs of one class, in order.
 
     One insertion or deletion changes at most three adjacent pairs, so of 4k classes at
@@ -234,25 +242,37 @@ def _pair_keys(names: DataFrame, name: str) -> DataFrame:
     empty = F.size(F.filter("_slices", lambda s: s == ""))
     return (
         names.filter(F.col("budget") >= LARGE_BUDGET)
-        .withColumn("_slices", _pair_slices(F.col(name), F.col("budget")))
-        .select(name, "budget", empty.alias("_empty"), F.posexplode("_slices").alias("slot", "_s"))
+        .withColumn("_slices", _pair_slices(F.col("name"), F.col("budget")))
+        .select("id", "size", "bag", "budget", empty.alias("_empty"), F.posexplode("_slices").alias("slot", "_s"))
         .filter((F.col("_s") != "") | (F.col("_empty") >= F.col("budget")))
-        .select(name, F.xxhash64("budget", "slot", "_s").alias("key"))
+        .select("id", "size", "bag", F.xxhash64("budget", "slot", "_s").alias("key"))
     )
 
 
-def fuzzy_keys(names: DataFrame, name: str, threshold: int = 95) -> DataFrame:
-    """``name, key`` such that two names scoring above the threshold share a key.
+def fuzzy_keys(names: DataFrame, threshold: int = 95) -> DataFrame:
+    """``id, size, bag, key`` such that two names scoring above the threshold share a key.
 
     A name gets the keys of every budget it can have with a partner of admissible length.
     """
-    size = F.length(name)
+    size = F.col("size")
     rate = (199 - 2 * threshold) / 200
     shortest = F.floor(size * (1 - rate) / (1 + rate))
     longest = F.ceil(size * (1 + rate) / (1 - rate))
     budgets = F.sequence(edit_budget(size + shortest, threshold), edit_budget(size + longest, threshold))
-    ranged = names.select(name, F.explode(budgets).alias("budget"))
-    return _character_keys(ranged, name).unionByName(_pair_keys(ranged, name))
+    ranged = names.select("*", F.explode(budgets).alias("budget"))
+    return _character_keys(ranged).unionByName(_pair_keys(ranged))
+
+
+def fuzzy_candidates(a: DataFrame, b: DataFrame, threshold: int = 95) -> DataFrame:
+    """``a, b``: ids of the pairs that share a key and may be within budget, each once.
+
+    An edit changes whether the count of one character is odd, so the bags differ in no
+    more bits than there are edits; this is seen in the join, before texts are looked up.
+    """
+    side = lambda df, name: fuzzy_keys(df, threshold).select(*[F.col(c).alias(f"{name}_{c}") for c in ("id", "size", "bag")], "key")
+    budget = edit_budget(F.col("a_size") + F.col("b_size"), threshold)
+    near = (F.abs(F.col("a_size") - F.col("b_size")) <= budget) & (F.bit_count(F.col("a_bag").bitwiseXOR(F.col("b_bag"))) <= budget)
+    return side(a, "a").join(side(b, "b"), "key").filter(near).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
 
 def fuzzy_join(
@@ -262,16 +282,17 @@ def fuzzy_join(
     right_name: str,
     threshold: int = 95,
 ) -> DataFrame:
-    """Pairs of names whose similarity ratio exceeds ``threshold``, with the ratio."""
-    a = left.select(F.col(left_name).alias("_a")).filter("_a <> ''").distinct()
-    b = right.select(F.col(right_name).alias("_b")).filter("_b <> ''").distinct()
-    met = fuzzy_keys(a, "_a", threshold).join(fuzzy_keys(b, "_b", threshold), "key")
+    """Pairs of names whose similarity ratio exceeds ``threshold``, with the ratio.
+
+    Candidates are pairs of 64-bit ids; texts meet only to be checked, so equal ids of
+    different texts cost a check and no pair.
+    """
+    a, b = stage(_identified(left, left_name), "left-names"), stage(_identified(right, right_name), "right-names")
+    texts = fuzzy_candidates(a, b, threshold).join(a.select(F.col("id").alias("a"), F.col("name").alias("_a")), "a")
+    texts = texts.join(b.select(F.col("id").alias("b"), F.col("name").alias("_b")), "b")
     total = F.length("_a") + F.length("_b")
-    budget = edit_budget(total, threshold)
-    # a pair can share many keys: compare its texts once
-    candidates = met.filter(F.abs(F.length("_a") - F.length("_b")) <= budget).select("_a", "_b").distinct()
     # Levenshtein distance never exceeds the count of insertions and deletions
-    pairs = candidates.filter(F.levenshtein("_a", "_b") <= budget).withColumn("_lcs", lcs("_a", "_b"))
+    pairs = texts.filter(F.levenshtein("_a", "_b") <= edit_budget(total, threshold)).withColumn("_lcs", lcs("_a", "_b"))
     return pairs.filter(beats(F.col("_lcs"), total, threshold)).select(
         F.col("_a").alias(left_name), F.col("_b").alias(right_name), ratio_from_lcs(F.col("_lcs"), total).alias("ratio")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from padron.frames import key_counts, union_all
+from padron.sources.staging import stage
 
 # Terms always added to the frequency stop list.
 MANUAL_STOPS = [
@@ -102,25 +103,37 @@ def sample_rows(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
     return df.filter(F.substring(F.md5(text), 1, 8) < f"{int(share * 16**8):08x}")
 
 
-def forward_fill(df: DataFrame, group: str, order: str, column: str, slice_rows: int = 1_000_000) -> DataFrame:
+def forward_fill(df: DataFrame, group: str, order: str, column: str) -> DataFrame:
     """Fill a missing label from the last known one above it in the same group.
 
-    ``order`` is an integer, unique per group. It cuts each group into slices, so a
-    group of any size is filled slice by slice: the last label of every slice is
-    carried to the next ones, and a window fills inside the slice.
+    A prefix scan over range partitions of (group, order): rows are dealt to ranges and
+    written with the number of their range; each range fills its own rows; what a range's
+    first group inherits is found from one row for each range. A group of any size, with
+    an order of any density, is spread over as many ranges as it fills.
+
+    Rows without a group form one group; rows without an order come first in theirs.
+    Rows with equal order are filled in any order. Other columns pass through.
     """
-    known = F.when(F.col(column).isNotNull(), F.struct(F.col(order).alias("at"), F.col(column).alias("label")))
-    sliced = df.withColumn("_slice", F.floor(F.col(order) / slice_rows)).withColumn("_known", known)
-    ends = sliced.groupBy(group, "_slice").agg(F.max("_known").alias("_last"))
-    before = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.withColumn("_carried", F.max("_last").over(before)).drop("_last")
-    within = Window.partitionBy(group, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        sliced.join(carried, [group, "_slice"], "left")
-        .withColumn("_at", F.coalesce(F.max("_known").over(within), F.col("_carried")))
-        .withColumn(column, F.col("_at.label"))
-        .drop("_slice", "_known", "_carried", "_at")
-    )
+    keys = [F.col(group).alias("_g"), F.col(order).alias("_o"), F.col(column).alias("_label")]
+    ranges = df.select(*keys, F.struct(*df.columns).alias("_row")).repartitionByRange("_g", "_o")
+    held = stage(ranges.withColumn("_part", F.spark_partition_id()), "ranges")
+
+    place = lambda c: F.struct(F.col(c).isNotNull(), F.col(c))
+    known = F.max_by("_label", F.when(F.col("_label").isNotNull(), place("_o")))
+    ends = held.groupBy("_part", "_g").agg(known.alias("_last"))
+    # from here on one row for each range: the group it ends with, and that group's last label so far
+    ends = ends.groupBy("_part").agg(F.max_by(F.struct("_g", "_last"), place("_g")).alias("_end")).select("_part", "_end.*")
+    so_far = Window.partitionBy("_g").orderBy("_part")
+    ends = ends.withColumn("_carried", F.last("_last", ignorenulls=True).over(so_far))
+    following = F.lead("_part").over(Window.orderBy("_part")).alias("_part")
+    inherited = ends.select(following, F.col("_g").alias("_from"), "_carried").dropna(subset=["_part"])
+
+    above = Window.partitionBy("_part", "_g").orderBy(F.asc_nulls_first("_o")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = F.last("_label", ignorenulls=True).over(above)
+    filled = held.withColumn("_own", own).join(F.broadcast(inherited), "_part", "left")
+    carried = F.when(F.col("_g").eqNullSafe(F.col("_from")), F.col("_carried"))
+    label = F.coalesce("_own", carried)
+    return filled.select(*[(label if c == column else F.col("_row")[c]).alias(c) for c in df.columns])
 
 
 def null_profile(df: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from padron.operators.linkage import distinctive_tokens
-from padron.operators.quality import sample_rows
+from padron.operators.quality import forward_fill, sample_rows
 from padron.operators.resolve import mention_items, regroup_items
 from padron.operators.splits import company_markers, split_consortium
 from padron.plans.chain import register_companies
@@ -81,3 +81,40 @@ def test_register_reads_the_company_table(spark):
     names = {(r.ID_EMPRESA, r.value) for r in links.values.filter("attribute = 'company'").collect()}
     assert names == {(1, "12345678z"), (2, "12345678z")}
     assert [r.ID_EMPRESA for r in links.not_found.collect()] == [3]
+
+
+def filled(rows):
+    """The same row by row: rows are (group, order, label)."""
+    out, last = [], {}
+    for g, o, x in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1] is not None, r[1] or 0)):
+        last[g] = x if x is not None else last.get(g)
+        out.append((g, o, last[g]))
+    return out
+
+
+def test_fill_of_a_hot_group_with_a_sparse_order(spark):
+    """Nanoseconds as order, nine tenths in one group, long gaps without a label."""
+    start = 1_700_000_000_000_000_000
+    rows = [("hot" if i % 10 else f"g{i % 70}", start + i * 7_919_000_003, f"v{i}" if i % 977 == 3 or i % 70 == 20 else None) for i in range(20_000)]
+    rows += [(None, 5, None), (None, 6, "n"), (None, 7, None), ("hot", None, "first"), ("zz", None, None), ("a", None, "early"), ("a", 1, None)]
+    df = spark.createDataFrame(rows, "grp string, at long, _part string").repartition(16)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = forward_fill(df, "grp", "at", "_part").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sorted(map(tuple, got), key=repr) == sorted(filled(rows), key=repr)
+
+
+def test_a_hot_group_is_dealt_to_all_ranges(spark):
+    df = spark.range(100_000).select(F.lit("hot").alias("g"), (F.col("id") * 1_000_000_007).alias("o"), F.when(F.col("id") == 0, "x").alias("label"))
+    out = forward_fill(df, "g", "o", "label")
+    assert out.filter("label = 'x'").count() == 100_000
+    sizes = [r["count"] for r in df.repartitionByRange("g", "o").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_fill_of_nothing(spark):
+    assert forward_fill(spark.createDataFrame([], "g string, o long, x string, y int"), "g", "o", "x").columns == ["g", "o", "x", "y"]
+    assert forward_fill(spark.createDataFrame([], "g string, o long, x string"), "g", "o", "x").count() == 0
