@@ -3,8 +3,8 @@
 Targets: every source's share of all words follows its weight, up to a limit of
 ``MAX_REPEATS`` times its own words; what lies above is shared out again by weight.
 
-Draws: each source is put into a pseudo-random order and cut into blocks of about
-``BLOCK_WORDS`` words. A source with target T takes floor(T / size) whole passes and, of
+Draws: each source is put into a pseudo-random order and cut into blocks of
+``BLOCK_WORDS`` words, or of as many as leave MOST_BLOCKS blocks in all. A source with target T takes floor(T / size) whole passes and, of
 one more pass, the blocks up to the rest of T; the block quota of each source is exact.
 A tree over the output shards splits these quotas: at every node the left half draws its
 number of blocks without replacement from what the node holds, which is a multivariate
@@ -28,6 +28,8 @@ from padron.sources.staging import stage
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 BLOCK_WORDS = 4096
+#: Blocks grow with the corpus, so that exact draws stay within the generator's range.
+MOST_BLOCKS = 400_000_000
 SHARDS = 64
 SEED = 11
 #: Documents of a source are ordered within this many hash ranges, each by itself.
@@ -114,16 +116,36 @@ def _draw(held: np.ndarray, draws: int, rng: np.random.Generator) -> np.ndarray:
     out, left = np.zeros_like(held), int(held.sum())
     for i, n in enumerate(held.tolist()):
         left -= n
-        if left < 500_000_000 and n < 500_000_000:
-            k = int(rng.hypergeometric(n, left, draws)) if n and draws else 0
-        else:  # beyond numpy's range: the expected number, kept within what is there
-            k = round(draws * n / (n + left))
-        k = min(max(k, draws - left), n, draws)
+        k = _drawn(n, left, draws, rng)
         out[i] = k
         draws -= k
     return out
 
 
+#: The generator takes counts below this.
+_RANGE = 1_000_000_000
+
+
+def _drawn(n: int, others: int, draws: int, rng: np.random.Generator) -> int:
+    """How many of ``draws`` from n + others are of the n: a hypergeometric number."""
+    if not n or not draws:
+        return 0
+    if n < _RANGE and others < _RANGE:
+        return int(rng.hypergeometric(n, others, draws))
+    # beyond the generator's range the distribution is summed up around its mode, as far as it weighs anything
+    least, most = max(0, draws - others), min(n, draws)
+    mode = min(max((draws + 1) * (n + 1) // (n + others + 2), least), most)
+    share = n / (n + others)
+    spread = (draws * share * (1 - share) * (n + others - draws) / max(n + others - 1, 1)) ** 0.5
+    reach = int(12 * spread) + 50
+    low, high = max(least, mode - reach), min(most, mode + reach)
+    k = np.arange(low, high, dtype=np.float64)
+    steps = np.log((n - k) / (k + 1)) + np.log((draws - k) / (others - draws + k + 1))
+    chance = np.concatenate(([0.0], np.cumsum(steps)))
+    chance = np.cumsum(np.exp(chance - chance.max()))
+    return low + int(np.searchsorted(chance, rng.random() * chance[-1], "right"))
+
+
 def _shard_ranges(shards: int):
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["source"] is None, r["source"] or ""))
@@ -136,7 +158,7 @@ def _shard_ranges(shards: int):
     return split
 
 
-def plan_mix(documents: DataFrame, *keep: str, weights: tuple[int, ...] = WEIGHTS, shards: int = SHARDS) -> DataFrame:
+def plan_mix(documents: DataFrame, *keep: str, weights: tuple[int, ...] = WEIGHTS, shards: int = SHARDS, most_blocks: int = MOST_BLOCKS) -> DataFrame:
     """One row for each document: doc_id, source, tie, size, source_size, target, draws, and ``keep``.
 
     A document is in every whole pass of its source and, as far as the source's exact
@@ -146,7 +168,9 @@ def plan_mix(documents: DataFrame, *keep: str, weights: tuple[int, ...] = WEIGHT
     sources = targets(rows, weights)
     passes = F.when(F.col("source_size") > 0, F.floor(F.floor("target") / F.col("source_size"))).otherwise(0)
     sources = sources.withColumn("copies", passes).withColumn("quota", F.floor("target") - F.col("copies") * F.col("source_size"))
-    sources = sources.withColumn("blocks", F.ceil(F.floor("target") / BLOCK_WORDS))
+    every = F.sum(F.floor("target")).over(Window.partitionBy())  # one row for each source
+    sources = sources.withColumn("block_words", F.greatest(F.lit(BLOCK_WORDS).cast("long"), F.ceil(every / F.lit(most_blocks))))
+    sources = sources.withColumn("blocks", F.ceil(F.floor("target") / F.col("block_words")))
     sources = stage(sources, "sources")
     tree = sources.select("source", "blocks").repartition(1).mapInArrow(_shard_ranges(shards), "source string, upto array<long>")
     sources = sources.drop("blocks").join(tree, sources["source"].eqNullSafe(tree["source"])).drop(tree["source"])
@@ -167,11 +191,11 @@ def plan_mix(documents: DataFrame, *keep: str, weights: tuple[int, ...] = WEIGHT
 
 
 def _draws(part: Column) -> Column:
-    """The copies of a document in the mix: array of (copy, words, shard, place).
+    """The copies of a document in the mix: array of (copy, words, shard, block, place).
 
     ``place`` is the order within the shard, which owns the block in which the copy begins.
     """
-    block = lambda copy: F.floor((copy * F.col("source_size") + F.col("offset")) / BLOCK_WORDS)
+    block = lambda copy: F.floor((copy * F.col("source_size") + F.col("offset")) / F.col("block_words"))
     shard = lambda copy: F.least(F.size(F.filter("upto", lambda x: x <= block(copy))), F.size("upto") - 1)
     copies = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("copies")),
@@ -179,6 +203,7 @@ def _draws(part: Column) -> Column:
             copy.alias("copy"),
             F.when(copy < F.col("copies"), F.col("size")).otherwise(part).alias("words"),
             shard(copy).alias("shard"),
+            block(copy).alias("block"),
             F.xxhash64(copy, "doc_id", "tie", F.lit(SEED)).alias("place"),
         ),
     )
@@ -186,14 +211,18 @@ def _draws(part: Column) -> Column:
 
 
 def taken_words(documents: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every row of ``documents``.
+    """doc_id, size, source_size, target, taken, draws for every row of ``documents``.
+
+    ``draws`` has a row (copy, words, shard, block) for each copy of the document in the
+    mix: the tree over the shards decides which shard owns the block that it begins in.
 
     Null and empty texts have size 0 and are never drawn; a source without words has
     target 0. A null source is a source. Repeated rows are mixed as rows of their own;
     rows equal in id and text may be taken in either order. An empty table gives none.
     """
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda s, d: s + d["words"])
-    return plan_mix(documents).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    shown = F.transform("draws", lambda d: F.struct(d["copy"].alias("copy"), d["words"].alias("words"), d["shard"].alias("shard"), d["block"].alias("block")))
+    return plan_mix(documents).select("doc_id", "size", "source_size", "target", taken.alias("taken"), shown.alias("draws"))
 
 
 def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, shards: int = SHARDS) -> DataFrame:

@@ -113,45 +113,59 @@ def pack_documents(documents: DataFrame, tokenizer: str = TOKENIZER, capacity: i
     ignored; an empty table gives no rows. No shuffle: rows hold documents of one task.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, ids, names, held = encoder(tokenizer), [], [], 0
-        for batch in batches:
-            for name, text in zip(*(batch.column(i) for i in (0, 1)), strict=True):
-                ids.append(encode(text.as_py() or ""))
-                names.append(name.as_py())
-                held += len(ids[-1])
-                if held >= group:
-                    yield _packed(ids, names, capacity)
-                    ids, names, held = [], [], 0
-        if ids:
-            yield _packed(ids, names, capacity)
-
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(run, PACKED)
+    return _texts(documents).mapInArrow(lambda batches: _rows(batches, tokenizer, capacity, group), PACKED)
+
+
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
+
+
+def _rows(batches: Iterator[pa.RecordBatch], tokenizer: str, capacity: int, group: int) -> Iterator[pa.RecordBatch]:
+    encode, ids, names, held = encoder(tokenizer), [], [], 0
+    for batch in batches:
+        for name, text in zip(*(batch.column(i) for i in (0, 1)), strict=True):
+            ids.append(encode(text.as_py() or ""))
+            names.append(name.as_py())
+            held += len(ids[-1])
+            if held >= group:
+                yield _packed(ids, names, capacity)
+                ids, names, held = [], [], 0
+    if ids:
+        yield _packed(ids, names, capacity)
+
+
+MATRICES = "n_rows int, matrix binary, positions binary, cu_seqlens array<array<int>>, doc_ids array<long>, pieces array<int>"
 
 
 def matrices(packed: DataFrame, rows: int = 64, capacity: int = ROW_TOKENS, pad: int = END_ID) -> DataFrame:
-    """Blocks of up to ``rows`` packed rows: n_rows, matrix, positions, cu_seqlens.
+    """Blocks of up to ``rows`` packed rows: n_rows, matrix, positions, cu_seqlens, doc_ids, pieces.
 
     ``matrix`` and ``positions`` are row-major little-endian 32-bit (n_rows x capacity);
-    positions count from 0 in every segment, padding is a segment of its own.
+    positions count from 0 in every segment, padding is a segment of its own. ``doc_ids``
+    and ``pieces`` tell whose piece each segment is, row after row.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                part = batch.slice(at, rows).to_pylist()
-                matrix = np.full((len(part), capacity), pad, "<i4")
-                places = np.zeros((len(part), capacity), "<i4")
-                for i, r in enumerate(part):
-                    flat = read_ids(r["ids"], r["n_tokens"])
-                    matrix[i, : len(flat)] = flat
-                    places[i] = position_ids(r["cu_seqlens"], capacity)
-                yield pa.record_batch(
-                    [pa.array([len(part)], pa.int32()), pa.array([matrix.tobytes()]), pa.array([places.tobytes()]), pa.array([[r["cu_seqlens"] for r in part]], pa.list_(pa.list_(pa.int32())))],
-                    ["n_rows", "matrix", "positions", "cu_seqlens"],
-                )
-
-    return packed.mapInArrow(run, "n_rows int, matrix binary, positions binary, cu_seqlens array<array<int>>")
+    return packed.mapInArrow(lambda batches: _stacked(batches, rows, capacity, pad), MATRICES)
+
+
+def pack_matrices(documents: DataFrame, tokenizer: str = TOKENIZER, capacity: int = ROW_TOKENS, group: int = GROUP_TOKENS, rows: int = 64) -> DataFrame:
+    """``matrices`` of ``pack_documents``, made where the rows are packed."""
+    return _texts(documents).mapInArrow(lambda batches: _stacked(_rows(batches, tokenizer, capacity, group), rows, capacity, END_ID), MATRICES)
+
+
+def _stacked(batches: Iterator[pa.RecordBatch], rows: int, capacity: int, pad: int) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.list_(pa.int32())), pa.list_(pa.int64()), pa.list_(pa.int32())]
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows).to_pylist()
+            matrix = np.full((len(part), capacity), pad, "<i4")
+            places = np.zeros((len(part), capacity), "<i4")
+            for i, r in enumerate(part):
+                flat = read_ids(r["ids"], r["n_tokens"])
+                matrix[i, : len(flat)] = flat
+                places[i] = position_ids(r["cu_seqlens"], capacity)
+            flat = lambda name: [x for r in part for x in r[name]]
+            values = [len(part), matrix.tobytes(), places.tobytes(), [r["cu_seqlens"] for r in part], flat("doc_ids"), flat("pieces")]
+            yield pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], ["n_rows", "matrix", "positions", "cu_seqlens", "doc_ids", "pieces"])
 
 
 def read_ids(ids: bytes, n_tokens: int) -> np.ndarray:

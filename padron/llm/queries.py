@@ -9,7 +9,7 @@ from padron.llm.decontaminate import find_contamination
 from padron.llm.lm import score_documents
 from padron.llm.minhash import link_duplicates
 from padron.llm.mixing import taken_words
-from padron.llm.packing import pack_documents
+from padron.llm.packing import pack_matrices
 from padron.llm.quality import judge_quality
 from padron.llm.registry import ORACLES, QUERIES, query, table
 from padron.llm.resample import resample
@@ -75,7 +75,7 @@ def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op5_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"))
+    return pack_matrices(table(spark, sf_dir, "documents"))
 
 
 @query()

@@ -35,8 +35,8 @@ TRAINING_DOCUMENTS = 3000
 EPOCHS, WARM_UP, RATES, DECAY = 100, 30, (20.0, 0.1, 0.2), 1e-4
 #: Factor on averages, so that small vectors give large logits.
 SHARPNESS = 16.0
-#: n-grams seen less often in the sample keep a zero vector.
-LEAST_TIMES = 20
+#: An n-gram seen n times in the sample counts n / (n + SHRINK): one seen once is learned, but little.
+SHRINK = 8.0
 #: A document is held out when its checksum leaves HELD_OUT.
 FOLDS, HELD_OUT = 5, 0
 
@@ -158,17 +158,17 @@ def train(texts: list[str], counts: list[bytes], toxic: list[int]) -> tuple[np.n
     sizes = np.bincount(word_of, minlength=len(seen))
     tokens, n = np.concatenate(documents), np.frombuffer(b"".join(counts), "<i8")
     times = np.bincount(slots, np.bincount(tokens, n, len(sizes))[word_of], 1 << TABLE_BITS)
-    common = times[slots] >= LEAST_TIMES
-    used, slots = np.unique(slots[common], return_inverse=True)
+    used, slots = np.unique(slots, return_inverse=True)
+    trust = times[used] / (times[used] + SHRINK)
     # no more than TOP of a document's equal words can be among its TOP windows; these weigh as much as all
     kept = np.minimum(n, TOP)
     count = np.bincount(np.repeat(np.arange(len(documents)), [len(d) for d in documents]), kept, len(documents)).astype(np.int64)
-    folded, bias = _fit(label, len(used), slots, word_of[common], sizes, np.repeat(tokens, kept), np.repeat(n / kept, kept), count)
+    folded, bias = _fit(label, trust, slots, word_of, sizes, np.repeat(tokens, kept), np.repeat(n / kept, kept), count)
     table[used] = folded
     return table, bias
 
 
-def _fit(label, n_slots, slots, word_of, sizes, tokens, weight, count) -> tuple[np.ndarray, float]:
+def _fit(label, trust, slots, word_of, sizes, tokens, weight, count) -> tuple[np.ndarray, float]:
     """Full-batch gradient descent with momentum on vectors and softmax together; a document's loss is that of its windows.
 
     A window is one token; in the warm-up, when all windows of a document share its gradient
@@ -180,11 +180,11 @@ def _fit(label, n_slots, slots, word_of, sizes, tokens, weight, count) -> tuple[
     span, inverse = end - begin, 1 / sizes
     rng = np.random.default_rng(5)
     share = min(max(label.mean(), 0.01), 0.99)
-    weights = [rng.normal(0, 0.1, (n_slots, DIMENSION)), rng.normal(0, 0.5, DIMENSION), np.array(np.log(share / (1 - share)))]
+    weights = [rng.normal(0, 0.1, (len(trust), DIMENSION)), rng.normal(0, 0.5, DIMENSION), np.array(np.log(share / (1 - share)))]
     moved = [np.zeros_like(w) for w in weights]
     for epoch in range(1, EPOCHS + 1):
         vectors, softmax, bias = weights
-        word = np.bincount(word_of, (vectors @ softmax)[slots], len(sizes)) * inverse
+        word = np.bincount(word_of, (vectors @ softmax * trust)[slots], len(sizes)) * inverse
         sums = np.concatenate(([0.0], np.cumsum(word[tokens])))
         score = (sums[end] - sums[begin]) / span * SHARPNESS + bias
         if epoch <= WARM_UP:
@@ -199,13 +199,13 @@ def _fit(label, n_slots, slots, word_of, sizes, tokens, weight, count) -> tuple[
         # back to tokens, words and n-grams
         each = miss / span * SHARPNESS
         delta = np.bincount(begin, each, len(tokens) + 1) - np.bincount(end, each, len(tokens) + 1)
-        slot = np.bincount(slots, (np.bincount(tokens, np.cumsum(delta)[:-1], len(sizes)) * inverse)[word_of], n_slots)
+        slot = np.bincount(slots, (np.bincount(tokens, np.cumsum(delta)[:-1], len(sizes)) * inverse)[word_of], len(trust)) * trust
         grads = (slot[:, None] * softmax, slot @ vectors, miss.sum())
         for i, grad in enumerate(grads):
             moved[i] = 0.9 * moved[i] + grad
             weights[i] = weights[i] * (1 - DECAY) - RATES[i] * (1 - epoch / (EPOCHS + 1)) * moved[i]
     vectors, softmax, bias = weights
-    return vectors @ softmax * SHARPNESS, float(bias)
+    return vectors @ softmax * trust * SHARPNESS, float(bias)
 
 
 @lru_cache(maxsize=2)
