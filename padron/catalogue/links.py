@@ -26,7 +26,7 @@ from padron.operators.quality import (
     link_examples,
     truth_links,
 )
-from padron.operators.splits import dictionary_hits, split_consortium
+from padron.operators.splits import dictionary_hits, marker_table, split_consortium
 from padron.plans.linking import company_links, consortium_members, link_by_split, link_by_tokens
 from padron.sources.staging import stage
 
@@ -58,6 +58,31 @@ def q_split_consortium(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.select("FullName", F.array_join(F.array_sort("pieces"), "|").alias("pieces"))
 
 
+# Every company has a legal form of its own, which no written list knows.
+OWN_FORMS_SQL = f"""
+{CONSORTIA_SQL},
+formed AS (SELECT DISTINCT a.k AS ka, b.k AS kb FROM partners JOIN companies a ON a.k = lo JOIN companies b ON b.k = hi)
+"""
+
+
+@query(
+    f"""
+    WITH {OWN_FORMS_SQL}
+    SELECT a."Name" || ' q' || ka || '. ' || b."Name" || ' q' || kb || '. u.t.e.' AS "FullName",
+           a."Name" || ' q' || ka || '.|' || b."Name" || ' q' || kb || '.' AS pieces
+    FROM formed JOIN companies a ON a.k = ka JOIN companies b ON b.k = kb
+    """
+)
+def q_split_by_company_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consortia cut at the legal forms of the company table, as many forms as companies."""
+    firms = companies(spark, sf_dir).withColumn("CompanyType", F.concat(F.lit("Q"), F.col("k").cast("string"), F.lit(".")))
+    form = lambda name: F.concat(name, F.lit(" q"), F.substring_index(name, " grupo", -1), F.lit("."))
+    both = F.concat_ws(" ", form(F.col("a")), form(F.col("b")), F.lit("u.t.e."))
+    joint = consortia(spark, sf_dir).select(both.alias("FullName"))
+    split = split_consortium(joint, "FullName", markers=marker_table(firms))
+    return split.select("FullName", F.array_join("pieces", "|").alias("pieces"))
+
+
 # Hits in all six ways of writing a consortium; a name with a comma at its end is no word n-gram.
 HITS_SQL = f"""
     WITH {CONSORTIA_SQL},

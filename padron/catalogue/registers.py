@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from padron.catalogue.fixtures import (
     table,
 )
 from padron.catalogue.registry import query
+from padron.frames import union_all
 from padron.operators.quality import (
     duplicate_report,
     duplicate_share,
@@ -36,7 +39,8 @@ from padron.plans.register import (
     standardise_register,
     value_sets,
 )
-from padron.sources.staging import stage
+from padron.sources.register import BAD_ID, MALFORMED, NO_ID, scan_register
+from padron.sources.staging import checkpoint_root, stage
 
 FOUND_SQL = f"""
 {REGISTER_SQL},
@@ -294,3 +298,52 @@ def q_forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = F.when(F.col("event_type") == "signup", F.col("value"))
     events = table(spark, sf_dir, "events").select("event_id", "user_id", known.alias("value"))
     return forward_fill(events, "user_id", "event_id", "value").select("event_id", "user_id", "value")
+
+
+# --- register files --------------------------------------------------------------------
+
+# What a file calls the columns, and how lines go wrong by customer key.
+FILE_NAMES = {"Id. empresa": "ID_EMPRESA", "N.I.F.": "NIF", "Razón social": "NOMBRE", "¿UTE?": "UTE"}
+SCAN_SQL = f"""
+cells AS (
+  SELECT c_custkey AS c, 'Firma ' || c_custkey || ', S.L.' AS "NOMBRE",
+         CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 5 = 1 THEN lpad(CAST(c_custkey AS VARCHAR), 8, '0') ELSE upper({dni_text_sql("c_custkey")}) END AS "NIF",
+         CASE c_custkey % 3 WHEN 0 THEN 'S' WHEN 1 THEN 'N' END AS "UTE"
+  FROM customer),
+judged AS (
+  SELECT format, cells.*, CASE WHEN format = 'csv' AND c % 11 IN (4, 7) THEN '{MALFORMED}' WHEN c % 11 = 9 THEN '{BAD_ID}' WHEN c % 11 = 10 THEN '{NO_ID}' END AS reason
+  FROM cells, (VALUES ('csv'), ('parquet')) AS f(format))
+"""
+
+
+def _register_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The register as a CSV folder with broken lines and as Parquet; in both some IDs are wrong."""
+    c = F.col("ID_EMPRESA")
+    wrong = F.when(c % 11 == 9, F.concat(F.lit("x"), c.cast("string"))).when(c % 11 != 10, c.cast("string"))
+    cells = raw_register(spark, sf_dir).select(c.alias("key"), wrong.alias("Id. empresa"), F.col("NIF").alias("N.I.F."), F.col("NOMBRE").alias("Razón social"), F.col("UTE").alias("¿UTE?"))
+    paths = {kind: f"{checkpoint_root(spark)}/register-{uuid.uuid4().hex}" for kind in ("csv", "parquet")}
+    cells.drop("key").withColumn("remarks", F.lit("none")).write.parquet(paths["parquet"])
+    line = F.concat_ws(";", *[F.coalesce(F.col(f"`{name}`"), F.lit("")) for name in FILE_NAMES])
+    k = F.col("key")
+    lines = cells.select(F.when(k % 11 == 4, F.concat(line, F.lit(";more"))).when(k % 11 == 7, F.substring_index(line, ";", 2)).otherwise(line).alias(";".join(FILE_NAMES)))
+    # one cell for each line, written as it is
+    lines.write.option("header", True).option("sep", "\x01").option("quote", "").option("emptyValue", "").csv(paths["csv"])
+    return paths
+
+
+@query(
+    f"""
+    WITH {SCAN_SQL}
+    SELECT format, c AS "ID_EMPRESA", "NIF", "NOMBRE", "UTE", CAST(NULL AS VARCHAR) AS reason, CAST(1 AS BIGINT) AS n FROM judged WHERE reason IS NULL
+    UNION ALL SELECT format, NULL, NULL, NULL, NULL, reason, count(*) FROM judged WHERE reason IS NOT NULL GROUP BY format, reason
+    """
+)
+def q_register_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read from both kinds of files, and how many were set aside for what."""
+    found = []
+    for kind, path in _register_files(spark, sf_dir).items():
+        scan = scan_register(spark, path, kind, FILE_NAMES)
+        own = F.lit(kind).alias("format")
+        found.append(scan.rows.select(own, "*", F.lit(1).cast("long").alias("n")))
+        found.append(scan.reasons().select(own, "reason", "n"))
+    return union_all(found)
