@@ -2,9 +2,10 @@
 
 Lines are described by shape features (length, symbols, digits, letter case, table
 bars, repetition, sentence ends). A conditional random field with two states, content
-and boilerplate, is trained in numpy on a bounded sample of labelled documents, whose
-lines carry the label of their document. Viterbi decoding marks every line of every
-document; the share of characters in content lines decides.
+and boilerplate, is trained in numpy on a bounded sample of labelled documents. A label says on
+which side of one half a document's share of content lies; the states of its lines are
+found in turns with the weights. Viterbi decoding marks every line of every document; the
+share of characters in content lines decides.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from padron.llm.words import POSITION, SPACES, Words, chunks, code_points, mix, per_row
+from padron.sources.staging import stage
 
 #: Fixed characters that count as symbols.
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
@@ -25,7 +27,10 @@ REPEATED_PERCENT = 50
 CONTENT_SHARE = 0.5
 #: Bound on the labelled documents the CRF is trained on, those of the smallest hashes.
 TRAINING_DOCUMENTS = 2000
-TRAINING_LINES = 200
+#: Lines of all documents of the sample together; a document is taken whole or left out.
+TRAINING_LINES = 50_000
+#: Times that lines are given states and the CRF is fitted to them, after the first fit to the labels.
+ROUNDS = 2
 STEPS, RATE, PENALTY = 150, 0.2, 1e-3
 
 _BREAK = np.arange(256) == 0x0A
@@ -69,6 +74,10 @@ class Lines:
             out[worded] = again
         return out
 
+    def sizes(self) -> np.ndarray:
+        """Code points of each line, its line break included."""
+        return code_points(self.data, np.append(self.starts, len(self.data))) if len(self.row) else np.zeros(0, np.int64)
+
     def features(self, duplicate: np.ndarray) -> np.ndarray:
         data, (a, b) = self.data, (self.starts, self.ends)
         count = lambda test: (lambda m: m[b] - m[a])(_marks(test)).astype(np.float32)
@@ -151,88 +160,142 @@ def viterbi(scores: np.ndarray, change: np.ndarray, first: np.ndarray) -> np.nda
     return path
 
 
-def train(sequences: list[np.ndarray], labels: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Weights (features x 2) and transitions (2 x 2) by gradient ascent on the CRF likelihood.
+def chances(emit: np.ndarray, change: np.ndarray, starts: np.ndarray, lengths: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probability of each line's states, and of each pair of neighbouring states summed with the documents' weights.
+
+    Forward-backward over documents of any lengths, which come longest first: at each
+    step the documents that still have a line are the first ones.
+    """
+    forward, backward, pair = np.empty_like(emit), np.zeros_like(emit), np.zeros((2, 2))
+    open_ = np.searchsorted(-lengths, -np.arange(int(lengths[0]) + 1), "left") if len(lengths) else np.zeros(1, int)
+    forward[starts] = emit[starts]
+    for t in range(1, len(open_) - 1):
+        at = starts[: open_[t]] + t
+        before = forward[at - 1]
+        forward[at] = np.logaddexp(before[:, :1] + change[0], before[:, 1:] + change[1]) + emit[at]
+    ends = forward[starts + lengths - 1]
+    total = np.logaddexp(ends[:, 0], ends[:, 1])
+    for t in range(len(open_) - 3, -1, -1):
+        n = open_[t + 1]
+        at = starts[:n] + t
+        ahead = emit[at + 1] + backward[at + 1]
+        joint = forward[at][:, :, None] + change + ahead[:, None, :] - total[:n, None, None]
+        pair += (np.exp(joint) * weight[:n, None, None]).sum(0)
+        backward[at] = np.logaddexp(change[:, 0] + ahead[:, :1], change[:, 1] + ahead[:, 1:])
+    return np.exp(forward + backward - np.repeat(total, lengths)[:, None]), pair
+
+
+def _ascend(x, states, starts, lengths, weight, weights, change, moving: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient ascent on the likelihood of the lines' states; transitions stay as they are unless ``moving``."""
+    step_w, step_c = np.zeros_like(weights), np.zeros_like(change)
+    each = np.repeat(weight, lengths)
+    truth = np.eye(2)[states]
+    inner = np.ones(len(x), bool)
+    inner[starts + lengths - 1] = False
+    follows = np.flatnonzero(inner)
+    seen = np.zeros((2, 2))
+    np.add.at(seen, (states[follows], states[follows + 1]), each[follows])
+    n = len(starts)
+    for _ in range(STEPS):
+        chance, pair = chances(x @ weights, change, starts, lengths, weight)
+        grad_w = x.T @ ((truth - chance) * each[:, None]) / n - PENALTY * weights
+        step_w += grad_w**2
+        weights = weights + RATE * grad_w / np.sqrt(step_w + 1e-8)
+        if moving:
+            grad_c = (seen - pair) / n - PENALTY * change
+            step_c += grad_c**2
+            change = change + RATE * grad_c / np.sqrt(step_c + 1e-8)
+    return weights, change
+
 
-    With labels of one class only, or none, weights are zero and every line is content.
+def constrained(junk: np.ndarray, size: np.ndarray, rejected: bool) -> np.ndarray:
+    """Likelier state of each line of a document, with the least sure lines turned until its
+    share of content characters agrees with its label."""
+    state = (junk > 0.5).astype(np.int64)
+    wrong, limit = int(not rejected), size.sum() * CONTENT_SHARE
+    order = np.argsort(-junk if rejected else junk, kind="stable")
+    content = size[state == 0].sum()
+    for line in order[state[order] != int(rejected)]:
+        if (content < limit) == rejected:
+            break
+        state[line] = 1 - wrong
+        content += size[line] if wrong else -size[line]
+    return state
+
+
+def train(sequences: list[np.ndarray], labels: list[int], sizes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (features x 2) and transitions (2 x 2) of the CRF; ``sizes`` are the characters of each line.
+
+    A label says on which side of CONTENT_SHARE a document's share of content is; its
+    lines have states of their own. They start from the label; weights fitted to that
+    give each line its likelier state within the label's constraint, and the CRF is fitted
+    to those states, ROUNDS times. With labels of one class only, or none, weights are
+    zero and every line is content.
     """
     weights, change = np.zeros((FEATURES, 2)), np.zeros((2, 2))
     if len(set(labels)) < 2:
         return weights, change
-    length = max(len(s) for s in sequences)
-    x = np.zeros((len(sequences), length, FEATURES))
-    mask = np.zeros((len(sequences), length), bool)
-    for i, s in enumerate(sequences):
-        x[i, : len(s)], mask[i, : len(s)] = s, True
-    state = np.array(labels)
-    share = np.bincount(state, minlength=2) / len(state)
-    doc_weight = 0.5 / share[state] / mask.sum(1)
-    step_w, step_c = np.zeros_like(weights), np.zeros_like(change)
-    for _ in range(STEPS):
-        emit = x @ weights
-        forward, backward = np.zeros_like(emit), np.zeros_like(emit)
-        forward[:, 0] = emit[:, 0]
-        for t in range(1, length):
-            move = np.logaddexp(forward[:, t - 1, :1] + change[0], forward[:, t - 1, 1:] + change[1])
-            forward[:, t] = np.where(mask[:, t, None], move + emit[:, t], forward[:, t - 1])
-        total = np.logaddexp(forward[:, -1, 0], forward[:, -1, 1])
-        pair = np.zeros((2, 2))
-        for t in range(length - 2, -1, -1):
-            ahead = emit[:, t + 1] + backward[:, t + 1]
-            joint = forward[:, t, :, None] + change + ahead[:, None, :] - total[:, None, None]
-            pair += (np.exp(joint) * (mask[:, t + 1] * doc_weight)[:, None, None]).sum(0)
-            move = np.logaddexp(change[:, 0] + ahead[:, :1], change[:, 1] + ahead[:, 1:])
-            backward[:, t] = np.where(mask[:, t + 1, None], move, 0)
-        chance = np.exp(forward + backward - total[:, None, None]) * mask[:, :, None]
-        truth = np.zeros_like(chance)
-        truth[np.arange(len(state)), :, state] = 1
-        grad_w = np.einsum("nlf,nls->fs", x, (truth * mask[:, :, None] - chance) * doc_weight[:, None, None])
-        seen = np.zeros((2, 2))
-        for k in (0, 1):
-            seen[k, k] = ((mask.sum(1) - 1) * doc_weight)[state == k].sum()
-        grad_w, grad_c = grad_w / len(state) - PENALTY * weights, (seen - pair) / len(state) - PENALTY * change
-        step_w, step_c = step_w + grad_w**2, step_c + grad_c**2
-        weights += RATE * grad_w / np.sqrt(step_w + 1e-8)
-        change += RATE * grad_c / np.sqrt(step_c + 1e-8)
+    order = sorted(range(len(labels)), key=lambda i: -len(sequences[i]))
+    x, size = np.concatenate([sequences[i] for i in order]), np.concatenate([sizes[i] for i in order])
+    label = np.array([labels[i] for i in order])
+    lengths = np.array([len(sequences[i]) for i in order])
+    starts = np.cumsum(lengths) - lengths
+    weight = 0.5 / (np.bincount(label, minlength=2) / len(label))[label] / lengths
+    states = np.repeat(label, lengths)
+    for turn in range(ROUNDS + 1):
+        weights, change = _ascend(x, states, starts, lengths, weight, weights, change, turn > 0)
+        chance, _ = chances(x @ weights, change, starts, lengths, weight)
+        states = np.concatenate([constrained(chance[a : a + n, 1], size[a : a + n], bool(y)) for a, n, y in zip(starts, lengths, label, strict=True)])
     return weights, change
 
 
-def training_sample(documents: DataFrame, labels: DataFrame) -> tuple[list[np.ndarray], list[int]]:
-    """At most TRAINING_DOCUMENTS labelled texts of the smallest hashes, as line features.
+def training_sample(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, quality, text of the documents to learn from, each whole and once.
 
-    Of a longer text the sample keeps TRAINING_LINES lines spread over it.
+    At most TRAINING_DOCUMENTS labelled documents of the smallest hashes, as far as they
+    have TRAINING_LINES lines together; those with more than a hundredth of these come last.
+    Of several labels of a document the smallest counts, and of several texts.
     """
     chosen = (
         labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.min("quality").alias("quality"))
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+        .agg(F.min("quality").cast("int").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(TRAINING_DOCUMENTS)
     )
-    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
-    return _sequences(rows.mapInArrow(_sampled, "doc_id long, quality int, lines array<float>").orderBy("doc_id").collect())
-
-
-def _sequences(rows: list) -> tuple[list[np.ndarray], list[int]]:
-    found = [(np.array(r.lines, float).reshape(-1, FEATURES), r.quality) for r in rows if r.lines]
-    return [x for x, _ in found], [int(q < 1) for _, q in found]
-
-
-def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    rows = stage(rows.filter("text <> ''"), "labelled")
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    counted = rows.select("doc_id", lines.alias("lines"))
+    order = Window.orderBy(F.col("lines") * 100 > TRAINING_LINES, F.xxhash64("doc_id"), "doc_id")  # of TRAINING_DOCUMENTS rows
+    fits = counted.withColumn("upto", F.sum("lines").over(order)).filter(F.col("upto") <= TRAINING_LINES)
+    return rows.join(F.broadcast(fits.select("doc_id")), "doc_id")
+
+
+def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = []
     for batch in batches:
         for start, end, data, bounds in chunks(batch):
             _, lines, duplicate = statistics(data, bounds)
-            features = lines.features(duplicate)
+            features, size = lines.features(duplicate), lines.sizes()
             edges = np.searchsorted(lines.row, np.arange(end - start + 1))
-            kept = []
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                pick = np.unique(np.linspace(a, b - 1, min(b - a, TRAINING_LINES)).astype(int)) if b > a else []
-                kept.append(features[pick].ravel().tolist())
             part = batch.slice(start, end - start)
-            yield pa.record_batch(
-                [part.column(part.schema.get_field_index("doc_id")), part.column(part.schema.get_field_index("quality")).cast(pa.int32()), pa.array(kept, pa.list_(pa.float32()))],
-                ["doc_id", "quality", "lines"],
-            )
+            for a, b, doc, quality in zip(edges[:-1], edges[1:], part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                if b > a:
+                    found.append((doc, features[a:b].astype(float), int(quality < 1), size[a:b]))
+    found.sort(key=lambda r: r[0])
+    weights, change = train([r[1] for r in found], [r[2] for r in found], [r[3] for r in found])
+    yield pa.record_batch([pa.array([weights.ravel().tolist()]), pa.array([change.ravel().tolist()])], ["weights", "change"])
+
+
+def learn(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The CRF learned from the bounded sample, in one task."""
+    sample = training_sample(documents, labels).select("doc_id", "quality", "text").repartition(1)
+    model = sample.mapInArrow(_learned, "weights array<double>, change array<double>").collect()
+    if not model:
+        return train([], [], [])
+    return np.array(model[0].weights).reshape(FEATURES, 2), np.array(model[0].change).reshape(2, 2)
 
 
 def judge_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -241,8 +304,7 @@ def judge_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     Null text counts as empty; a text without lines has content share 0. Rows are judged
     one by one, so repeated rows get equal results; other columns are ignored.
     """
-    sequences, classes = training_sample(documents, labels)
-    weights, change = train(sequences, classes)
+    weights, change = learn(documents, labels)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,7 +314,7 @@ def judge_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
                 first = np.ones(len(lines.row), bool)
                 first[1:] = lines.row[1:] != lines.row[:-1]
                 path = viterbi(lines.features(duplicate) @ weights, change, first)
-                size = code_points(data, np.append(lines.starts, len(data))) if len(lines.row) else np.zeros(0)
+                size = lines.sizes()
                 content = per_row(end - start, lines.row, size * (path == 0))
                 total = per_row(end - start, lines.row, size)
                 share = content / np.maximum(total, 1)
