@@ -24,6 +24,9 @@ from padron.operators.quality import (
     evaluate_links,
     frequency_stoplist,
     link_examples,
+    merged_counts,
+    stops_of,
+    token_counts,
     truth_links,
 )
 from padron.operators.splits import dictionary_hits, marker_table, split_consortium
@@ -175,6 +178,17 @@ def q_stoplist_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stops(companies(spark, sf_dir).withColumnRenamed("Name", "company"))
 
 
+@query(f"WITH {COMPANIES_SQL}, {STOPS_SQL} SELECT term FROM stops")
+def q_stoplist_from_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of three runs over different companies, each stored; the stop list of all."""
+    state = None
+    for run in range(3):
+        part = companies(spark, sf_dir).filter(F.col("k") % 3 == run).withColumnRenamed("Name", "company")
+        counts = token_counts(distinctive_tokens(part, "company", None))
+        state = stage(counts if state is None else merged_counts(state, counts), f"run{run}")
+    return stops_of(state, manual=["widget"])
+
+
 TOKENS_SQL = f"""
 {FOLDED_SQL}, {STOPS_SQL},
 company_tokens AS (

@@ -45,51 +45,29 @@ def _is_word(c: Column) -> Column:
     return c.rlike(r"(?U)^\w")
 
 
-def phrase_parts(names: DataFrame, name: str) -> DataFrame:
-    """Adds ``core`` (first to last word character), ``before``, ``after`` and ``n_words``.
-
-    A name without word characters is its own core.
-    """
-    c = F.col(name)
-    wordy = c.rlike(r"(?U)\w")
-    return names.filter(c != "").select(
-        *names.columns,
-        F.when(wordy, F.regexp_replace(c, r"(?U)^\W+|\W+$", "")).otherwise(c).alias("core"),
-        F.when(wordy, F.regexp_extract(c, r"(?U)^(\W*)", 1)).otherwise(F.lit("")).alias("before"),
-        F.when(wordy, F.regexp_extract(c, r"(?U)(\W*)$", 1)).otherwise(F.lit("")).alias("after"),
-        F.size(F.filter(_runs(c), _is_word)).alias("n_words"),
+def _placed_runs(names: DataFrame) -> DataFrame:
+    """``id, run, at`` of ``names(id, name)``: every run of word or of other characters with its place, from 1."""
+    runs = F.transform(_runs(F.col("name")), lambda r: F.struct(r.alias("run"), F.length(r).alias("size")))
+    begin = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<run:string,at:int>>").alias("done"))
+    add = lambda s, r: F.struct(
+        (s["next"] + r["size"]).alias("next"), F.concat(s["done"], F.array(F.struct(r["run"].alias("run"), s["next"].alias("at")))).alias("done")
     )
+    return names.select("id", F.inline(F.aggregate(runs, begin, add, lambda s: s["done"])))
 
 
-def phrase_spans(names: DataFrame, name: str, wanted: DataFrame) -> DataFrame:
-    """Spans from one word to another with the symbols around them, for ``wanted(first, n_words)``.
+def rarest_words(companies: DataFrame, runs: DataFrame) -> DataFrame:
+    """``id, run, at``: of each company's words the one that the fewest consortium ``runs`` hold, and its place.
 
-    Only spans that begin with a wanted first word and have one of its numbers of words
-    are built, so one long name does not lengthen the spans of every other.
-    ``left_gap``/``right_gap`` are the symbols between the span and the neighbouring
-    word, null at the ends of the text. Symbol runs between two words are spans too.
+    A name without word characters stands for itself. Names with words of which no
+    consortium holds any are left out.
     """
-    n = F.size("_runs")
-    starts = names.select(*names.columns, _runs(F.col(name)).alias("_runs")).select(
-        *names.columns, "_runs", F.explode(F.sequence(F.lit(1), F.size("_runs"))).alias("_i")
-    )
-    run = F.element_at("_runs", F.col("_i"))
-    word_start = starts.filter(_is_word(run)).withColumn("first", run).join(wanted, "first")
-    word_start = word_start.withColumn("_j", F.col("_i") + 2 * F.col("n_words") - 2).filter(F.col("_j") <= n)
-    gap_at = F.col("_j") + 1
-    spans = word_start.select(
-        *names.columns,
-        F.array_join(F.slice("_runs", F.col("_i"), F.col("_j") - F.col("_i") + 1), "").alias("core"),
-        F.when(F.col("_i") > 2, F.get("_runs", F.col("_i") - 2)).alias("left_gap"),
-        F.when(gap_at < n, F.get("_runs", gap_at - 1)).alias("right_gap"),
-    )
-    gaps = starts.filter(~_is_word(run) & (F.col("_i") > 1) & (F.col("_i") < n)).select(
-        *names.columns,
-        run.alias("core"),
-        F.lit(None).cast("string").alias("left_gap"),
-        F.lit(None).cast("string").alias("right_gap"),
-    )
-    return spans.unionByName(gaps)
+    worded = F.col("name").rlike(r"(?U)\w")
+    words = _placed_runs(companies.filter(worded)).filter(_is_word(F.col("run")))
+    signs = companies.filter(~worded).select("id", F.col("name").alias("run"), F.lit(1).alias("at"))
+    counts = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    place = F.struct("n", "run", "at")
+    best = words.unionByName(signs).join(counts, "run").groupBy("id").agg(F.min(place).alias("best"))
+    return best.select("id", "best.run", "best.at")
 
 
 def containment_join(
@@ -97,17 +75,24 @@ def containment_join(
 ) -> DataFrame:
     """Pairs where the company's name stands between word boundaries inside the consortium's name.
 
-    Such a name is exactly a span of the consortium's words, so the equi-join on the
-    span text already yields the answer; only symbols at the name's ends are left to
-    compare. Case counts. Empty names match nothing.
+    A contained name brings all its words along, so pairs meet on the company's rarest
+    one, with ids and places; there the name is compared. A word that begins or ends half
+    of the names is only used by names that have no other. Case counts. Empty names match
+    nothing.
     """
-    named = phrase_parts(companies.select(company).distinct(), company)
-    first = F.regexp_extract("core", r"(?U)^(\w+)", 1).alias("first")
-    wanted = named.filter("n_words > 0").select(first, "n_words").distinct()
-    spans = phrase_spans(consortia.select(consortium).distinct(), consortium, wanted)
-    near = (F.col("before") == "") | (F.col("before") == F.col("left_gap"))
-    far = (F.col("after") == "") | (F.col("after") == F.col("right_gap"))
-    return named.join(spans, "core").filter(near & far).select(company, consortium).distinct()
+    # rows are numbered in the written table: ids stay what they are
+    ids = lambda df, c, label: stage(df.select(F.col(c).alias("name")).filter("name <> ''").distinct().withColumn("id", F.monotonically_increasing_id()), label)
+    own, joint = ids(companies, company, "phrases"), ids(consortia, consortium, "joint-names")
+    runs = stage(_placed_runs(joint), "runs")
+    met = rarest_words(own, runs).withColumnsRenamed({"id": "c", "at": "c_at"}).join(runs.withColumnsRenamed({"id": "u", "at": "u_at"}), "run")
+    starts = met.select("c", "u", (F.col("u_at") - F.col("c_at") + 1).alias("start")).filter("start > 0").distinct()
+    texts = starts.join(own.select(F.col("id").alias("c"), F.col("name").alias("_c")), "c").join(joint.select(F.col("id").alias("u"), F.col("name").alias("_u")), "u")
+    start, size = F.col("start"), F.length("_c")
+    same = F.substr("_u", start, size) == F.col("_c")
+    left = F.when(start > 1, F.substr("_u", start - 1, F.lit(1))).otherwise("")
+    edge = lambda inner, outer: _is_word(inner) != _is_word(outer)
+    bounded = edge(F.substring("_c", 1, 1), left) & edge(F.right("_c", F.lit(1)), F.substr("_u", start + size, F.lit(1)))
+    return texts.filter(same & bounded).select(F.col("_c").alias(company), F.col("_u").alias(consortium)).distinct()
 
 
 # --- token overlap --------------------------------------------------------------------

@@ -26,13 +26,23 @@ MANUAL_STOPS = [
 ]
 
 
-def frequency_stoplist(
-    tokens: DataFrame, token: str = "token", percentile: float = 0.95, manual: Sequence[str] = MANUAL_STOPS
-) -> DataFrame:
-    """Distinct ``term``: tokens counted above the percentile of all counts, and the manual terms."""
-    spark = tokens.sparkSession
-    counts = tokens.groupBy(F.col(token).alias("term")).agg(F.count(F.lit(1)).alias("n"))
-    # the percentile of the counts from their histogram: few distinct counts, whatever the number of tokens
+def token_counts(tokens: DataFrame, token: str = "token") -> DataFrame:
+    """``term, n``: the state of a stop list, which further runs can be added to (``merged_counts``)."""
+    return tokens.groupBy(F.col(token).alias("term")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def merged_counts(*states: DataFrame) -> DataFrame:
+    """The state of all tokens of several runs; in any order and grouping the same."""
+    return union_all([s.select("term", "n") for s in states]).groupBy("term").agg(F.sum("n").alias("n"))
+
+
+def stops_of(counts: DataFrame, percentile: float = 0.95, manual: Sequence[str] = MANUAL_STOPS) -> DataFrame:
+    """Distinct ``term`` of a state: tokens counted above the percentile of all counts, and the manual terms.
+
+    The percentile is exact. It comes from the histogram of the counts: few distinct
+    counts, whatever the number of tokens.
+    """
+    spark = counts.sparkSession
     histogram = counts.groupBy("n").agg(F.count(F.lit(1)).alias("terms"))
     limit = histogram.agg(F.percentile("n", F.lit(percentile), F.col("terms"))).first()[0]
     frequent = counts.filter(F.col("n") > F.lit(limit)).select("term")
@@ -40,6 +50,13 @@ def frequency_stoplist(
     return (frequent if given is None else frequent.unionByName(given)).distinct()
 
 
+def frequency_stoplist(
+    tokens: DataFrame, token: str = "token", percentile: float = 0.95, manual: Sequence[str] = MANUAL_STOPS
+) -> DataFrame:
+    """``stops_of`` one run's tokens."""
+    return stops_of(token_counts(tokens, token), percentile, manual)
+
+
 def coverage(edges: Mapping[str, DataFrame], consortium: str, all_consortia: DataFrame) -> DataFrame:
     """Per method: distinct linked consortia, consortium rows, and their ratio in percent."""
     linked = union_all(

@@ -8,7 +8,8 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from padron.functions.fuzzy import BLOCK, fuzzy_ratio, lcs, lcs_length
-from padron.operators.linkage import _identified, fuzzy_candidates, fuzzy_join
+from padron.operators.linkage import _identified, _placed_runs, containment_join, fuzzy_candidates, fuzzy_join, rarest_words
+from padron.operators.quality import frequency_stoplist, merged_counts, stops_of, token_counts
 from padron.operators.splits import default_markers, dictionary_hits, known_heads, marker_hits, marker_table, split_consortium
 
 
@@ -157,3 +158,28 @@ def test_a_hundred_thousand_legal_forms(spark):
     expected = F.concat(F.lit("norte q"), "id", F.lit(".|sur q"), 99_999 - F.col("id"), F.lit(".|este"))
     wrong = pieces.join(joint, "FullName").filter(F.array_join("pieces", "|") != expected)
     assert pieces.count() == 1000 and wrong.count() == 0
+
+
+# --- containment and stop lists --------------------------------------------------------
+
+
+def test_contained_names_that_share_their_first_word(spark):
+    """Every name begins with one word; pairs meet on another."""
+    n = 400
+    names = spark.range(n).select("id", F.concat(F.lit("construcciones norte x"), "id", F.lit(" sa")).alias("c"))
+    joint = names.select(F.concat(F.lit("ute construcciones sur - "), "c", F.lit(" y otros")).alias("u"))
+    own, runs = (df.select(F.col(c).alias("name"), F.monotonically_increasing_id().alias("id")) for df, c in ((names, "c"), (joint, "u")))
+    met = rarest_words(own, _placed_runs(runs))
+    assert {r.run[0] for r in met.collect()} == {"x"} and met.count() == n
+    assert containment_join(names, "c", joint, "u").count() == n
+
+
+def test_stop_lists_of_runs_add_up(spark):
+    rng = random.Random(2)
+    tokens = [rng.choice("aaaabbbccdefgh") + rng.choice("xy") for _ in range(500)]
+    runs = [frame(spark, tokens[a:b], "token") for a, b in ((0, 100), (100, 101), (101, 500))]
+    a, b, c = map(token_counts, runs)
+    whole = rows(frequency_stoplist(frame(spark, tokens, "token"), percentile=0.8, manual=["z"]))
+    assert rows(stops_of(merged_counts(a, b, c), 0.8, ["z"])) == whole
+    assert rows(stops_of(merged_counts(merged_counts(c, a), b), 0.8, ["z"])) == whole
+    assert len(whole) > 2
