@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from padron.catalogue.fixtures import (
+    DNI_LETTERS,
     FULL_MENTIONS_SQL,
     cif_digits,
     cif_digits_sql,
@@ -530,3 +531,43 @@ def q_classify_consortium(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", is_consortium(names_consortium(name), id_, form, description).alias("joint")
     )
+
+
+# Foreigners' IDs: a letter for the first digit, and every fourth with a wrong control letter. All zeros are no number.
+NIE_SQL = f"""
+nies AS (
+  SELECT o_orderkey, substr('xyz', CAST(o_orderkey % 3 + 1 AS INTEGER), 1) || lpad(CAST(o_orderkey AS VARCHAR), 7, '0')
+         || CASE WHEN o_orderkey % 4 = 3 THEN 'ñ' ELSE substr('{DNI_LETTERS}', CAST((o_orderkey % 3 * 10000000 + o_orderkey) % 23 + 1 AS INTEGER), 1) END AS nie
+  FROM orders)
+"""
+
+
+def _nies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    letter = F.substr(F.lit(DNI_LETTERS), ((key % 3 * 10_000_000 + key) % 23 + 1).cast("int"), F.lit(1))
+    control = F.when(key % 4 == 3, F.lit("ñ")).otherwise(letter)
+    first = F.substr(F.lit("xyz"), (key % 3 + 1).cast("int"), F.lit(1))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.concat(first, F.lpad(key.cast("string"), 7, "0"), control).alias("nie"))
+
+
+@query(f"WITH {NIE_SQL} SELECT o_orderkey, nie, CASE WHEN o_orderkey % 4 <> 3 AND o_orderkey > 0 THEN 'NIE' END AS kind FROM nies")
+def q_id_type_nie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = _nies(spark, sf_dir)
+    return ids.select("o_orderkey", "nie", id_type(F.col("nie")).alias("kind"))
+
+
+@query(f"WITH {NIE_SQL} SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 3 AND o_orderkey > 0 THEN nie END AS nif FROM nies")
+def q_id_correct_letter_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zero behind the letter is dropped from two of three IDs, and put back."""
+    whole, key = F.col("nie"), F.col("o_orderkey")
+    short = F.when(key % 5 < 3, F.concat(F.substring(whole, 1, 1), F.substr(whole, F.lit(3)))).otherwise(whole)
+    return _nies(spark, sf_dir).select("o_orderkey", correct_id(short).alias("nif"))
+
+
+@query("SELECT c_custkey, c_custkey % 6 < 4 AS joint FROM customer")
+def q_classify_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consortium wordings behind the names of a table; a longer word that holds one is none."""
+    endings = [" U.T.E.", " ute", " ute-norte", " Uniones Temporales de Empresas", " absolute", " utex"]
+    wording = F.element_at(F.array(*map(F.lit, endings)), (F.col("c_custkey") % 6 + 1).cast("int"))
+    name = F.concat("c_name", wording, F.lit(" "), "c_mktsegment")
+    return table(spark, sf_dir, "customer").select("c_custkey", names_consortium(name).alias("joint"))
