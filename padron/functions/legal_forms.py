@@ -84,7 +84,7 @@ def _apply(c: Column, target) -> Column:
         changed = F.concat(sign, zone)
         for spelling, form in LEGAL_FORMS:
             changed = F.regexp_replace(changed, form_pattern(spelling), target(form))
-        return F.concat(head, F.substr(changed, F.length(sign) + 1))
+        return F.when(zone == "", c).otherwise(F.concat(head, F.substr(changed, F.length(sign) + 1)))
 
     whole = F.get(F.transform(F.array(F.regexp_extract(c, ZONE, 2)), rules), 0)
     return F.trim(F.regexp_replace(whole, r"(?U)\s+", " "))
