@@ -157,8 +157,11 @@ def train(texts: list[str], counts: list[bytes], toxic: list[int]) -> tuple[np.n
     slots, word_of = np.concatenate(bag_slots), np.concatenate(bag_words)
     sizes = np.bincount(word_of, minlength=len(seen))
     tokens, n = np.concatenate(documents), np.frombuffer(b"".join(counts), "<i8")
-    times = np.bincount(slots, np.bincount(tokens, n, len(sizes))[word_of], 1 << TABLE_BITS)
-    used, slots = np.unique(slots, return_inverse=True)
+    times = _gathered(slots, np.bincount(tokens, n, len(sizes)), word_of, 1 << TABLE_BITS)
+    used = np.flatnonzero(times)
+    place = np.zeros(1 << TABLE_BITS, np.int32)
+    place[used] = np.arange(len(used))
+    slots = place[slots]
     trust = times[used] / (times[used] + SHRINK)
     # no more than TOP of a document's equal words can be among its TOP windows; these weigh as much as all
     kept = np.minimum(n, TOP)
@@ -168,6 +171,14 @@ def train(texts: list[str], counts: list[bytes], toxic: list[int]) -> tuple[np.n
     return table, bias
 
 
+def _gathered(to: np.ndarray, values: np.ndarray, source: np.ndarray, size: int, block: int = 1 << 20) -> np.ndarray:
+    """Sums of ``values[source]`` by ``to``, a block at a time, as the n-grams of all words are many."""
+    out = np.zeros(size)
+    for at in range(0, len(to), block):
+        out += np.bincount(to[at : at + block], values[source[at : at + block]], size)
+    return out
+
+
 def _fit(label, trust, slots, word_of, sizes, tokens, weight, count) -> tuple[np.ndarray, float]:
     """Full-batch gradient descent with momentum on vectors and softmax together; a document's loss is that of its windows.
 
@@ -184,7 +195,7 @@ def _fit(label, trust, slots, word_of, sizes, tokens, weight, count) -> tuple[np
     moved = [np.zeros_like(w) for w in weights]
     for epoch in range(1, EPOCHS + 1):
         vectors, softmax, bias = weights
-        word = np.bincount(word_of, (vectors @ softmax * trust)[slots], len(sizes)) * inverse
+        word = _gathered(word_of, vectors @ softmax * trust, slots, len(sizes)) * inverse
         sums = np.concatenate(([0.0], np.cumsum(word[tokens])))
         score = (sums[end] - sums[begin]) / span * SHARPNESS + bias
         if epoch <= WARM_UP:
@@ -199,7 +210,7 @@ def _fit(label, trust, slots, word_of, sizes, tokens, weight, count) -> tuple[np
         # back to tokens, words and n-grams
         each = miss / span * SHARPNESS
         delta = np.bincount(begin, each, len(tokens) + 1) - np.bincount(end, each, len(tokens) + 1)
-        slot = np.bincount(slots, (np.bincount(tokens, np.cumsum(delta)[:-1], len(sizes)) * inverse)[word_of], len(trust)) * trust
+        slot = _gathered(slots, np.bincount(tokens, np.cumsum(delta)[:-1], len(sizes)) * inverse, word_of, len(trust)) * trust
         grads = (slot[:, None] * softmax, slot @ vectors, miss.sum())
         for i, grad in enumerate(grads):
             moved[i] = 0.9 * moved[i] + grad
