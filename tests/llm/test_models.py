@@ -112,6 +112,15 @@ def test_language_model_is_normalised():
     assert np.allclose((10.0**table).sum(-1), 1, atol=1e-4)
 
 
+def test_language_model_learns_from_every_triple():
+    """Nothing is drawn in training, so the order of the counts changes nothing."""
+    rng = np.random.default_rng(2)
+    triple = np.unique(rng.integers(0, lm.CLASSES**3, 2000))
+    count = rng.integers(1, 50, len(triple))
+    table = lm.train(triple, count)
+    assert np.allclose(table, lm.train(triple[::-1], count[::-1]), atol=1e-3)
+
+
 def test_language_model_of_nothing(spark, documents):
     assert lm.score_documents(documents.limit(0)).count() == 0
     lone = spark.createDataFrame([(None, "a b")], "doc_id long, text string")
