@@ -8,6 +8,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from padron.functions.fuzzy import BLOCK, fuzzy_ratio, lcs, lcs_length
+from padron.operators import linkage
 from padron.operators.linkage import _identified, _placed_runs, containment_join, fuzzy_candidates, fuzzy_join, rarest_words
 from padron.operators.quality import frequency_stoplist, merged_counts, stops_of, token_counts
 from padron.operators.splits import default_markers, dictionary_hits, known_heads, marker_hits, marker_table, split_consortium
@@ -183,3 +184,28 @@ def test_stop_lists_of_runs_add_up(spark):
     assert rows(stops_of(merged_counts(a, b, c), 0.8, ["z"])) == whole
     assert rows(stops_of(merged_counts(merged_counts(c, a), b), 0.8, ["z"])) == whole
     assert len(whole) > 2
+
+
+def test_a_name_with_a_word_no_consortium_holds_meets_nothing(spark):
+    """Such a name is contained nowhere; it used to be compared with every holder of its other words."""
+    joint = spark.createDataFrame([(i, f"blue steel {i} ute") for i in range(50)], "id long, name string")
+    own = spark.createDataFrame([(100, "blue steel 7"), (101, "blue steel 999"), (102, "--")], "id long, name string")
+    runs = linkage._placed_runs(joint)
+    assert [tuple(r) for r in linkage.rarest_words(own, runs).collect()] == [(100, "7", 12)]
+    starts = linkage._phrase_candidates(own, joint)
+    assert [tuple(r) for r in starts.collect()] == [(100, 7, 1)]
+
+
+def test_phrase_or_token_join_is_both(spark):
+    """Signs as names, accents, common words, repeated names and overlapping places."""
+    names = ["blue", "a a", "--", "ñu", "x-", "steel works", "gone steel", "blue", ""]
+    joint = ["a a a", "xa a a", "-- blue", "blue --", "el ñu", "ñus", "x- y", "steel works ute", "Blue", None, ""] + [f"common {i}" for i in range(2000)]
+    own = spark.createDataFrame([(n,) for n in names], "company string")
+    all_ = spark.createDataFrame([(n,) for n in joint], "consortium string")
+    tokens = spark.createDataFrame([("steel works", "works"), ("gone steel", "steel"), ("blue", "blue")], "company string, token string")
+    by_phrase = {tuple(r) for r in linkage.containment_join(own, "company", all_, "consortium").collect()}
+    by_token = {tuple(r) for r in linkage.token_overlap_join(tokens, "company", all_, "consortium").collect()}
+    both = [tuple(r) for r in linkage.phrase_or_token_join(own, "company", tokens, all_, "consortium").collect()]
+    assert ("gone steel", "steel works ute") in by_token - by_phrase
+    assert {("a a", "xa a a"), ("ñu", "el ñu"), ("steel works", "steel works ute")} <= by_phrase
+    assert sorted(both) == sorted(by_phrase | by_token)
