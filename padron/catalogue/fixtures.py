@@ -12,10 +12,19 @@ from pyspark.sql import functions as F
 from padron.sources.lookups import ENTITY_LETTERS, PROVINCE_CODES
 
 
+#: Rows of a table in one task, where its file is too small to be read in several.
+ROWS_PER_TASK = 100_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows of a narrow table in as many tasks as their number asks for: names of a few bytes become rows of many."""
+    return df.repartition(df.count() // ROWS_PER_TASK + 1)
+
+
 # --- (ID, name) associations -----------------------------------------------------------
 # Groups of ten parts: 0-2 share an ID under three names, 3-5 share a name under three
 # IDs, 6 repeats the name of 0, the others are unambiguous.
@@ -335,7 +344,7 @@ register_aliases AS (
 def raw_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("c_custkey")
     nif = F.when(c % 5 == 1, F.lpad(c.cast("string"), 8, "0")).when(c % 5 > 1, F.upper(dni_text(c)))
-    return table(spark, sf_dir, "customer").select(
+    return dealt(table(spark, sf_dir, "customer").select("c_custkey")).select(
         c.alias("ID_EMPRESA"),
         nif.alias("NIF"),
         F.concat(F.lit("Firma "), c.cast("string"), F.lit(", S.L.")).alias("NOMBRE"),
@@ -348,8 +357,7 @@ def known_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.lit("firma "), c.cast("string"))
     next_name = F.when(c % 10 == 3, F.concat(F.lit("firma "), (c + 1).cast("string")))
     return (
-        table(spark, sf_dir, "customer")
-        .filter("c_mktsegment <> 'MACHINERY'")
+        dealt(table(spark, sf_dir, "customer").filter("c_mktsegment <> 'MACHINERY'").select("c_custkey"))
         .select(
             dni_text(c).alias("nif"),
             F.array_compact(F.array(name, F.concat(name, F.lit(" s.l.")), next_name)).alias("UsedNames"),
