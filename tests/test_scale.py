@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from padron.catalogue import fixtures
 from padron.operators.linkage import distinctive_tokens
 from padron.operators.quality import forward_fill, sample_rows
 from padron.operators.resolve import mention_items, regroup_items
@@ -118,3 +119,13 @@ def test_a_hot_group_is_dealt_to_all_ranges(spark):
 def test_fill_of_nothing(spark):
     assert forward_fill(spark.createDataFrame([], "g string, o long, x string, y int"), "g", "o", "x").columns == ["g", "o", "x", "y"]
     assert forward_fill(spark.createDataFrame([], "g string, o long, x string"), "g", "o", "x").count() == 0
+
+
+def test_a_small_file_of_many_customers_is_several_tasks(spark, tmp_path):
+    """One file is one task when it is read; what the register is made of it is not."""
+    n = 2 * fixtures.ROWS_PER_TASK + 1
+    rows = spark.range(0, n, 1, 1).select(F.col("id").alias("c_custkey"), F.lit("BUILDING").alias("c_mktsegment"))
+    rows.write.parquet(f"{tmp_path}/customer.parquet")
+    for df in (fixtures.raw_register(spark, str(tmp_path)), fixtures.known_companies(spark, str(tmp_path))):
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == n and max(sizes) <= fixtures.ROWS_PER_TASK
