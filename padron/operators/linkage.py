@@ -259,7 +259,7 @@ def _character_keys(names: DataFrame) -> DataFrame:
         names.filter(F.col("budget") < LARGE_BUDGET)
         .withColumn("_plain", plain)
         .join(F.broadcast(slots), "budget")
-        .select("id", "size", "bag", F.xxhash64("budget", "slot", kept).alias("key"))
+        .select("id", "size", "bag", "budget", F.col("name").alias("text"), F.xxhash64("budget", "slot", kept).alias("key"))
     )
 
 
@@ -286,14 +286,15 @@ def _pair_keys(names: DataFrame) -> DataFrame:
         .withColumn("_slices", _pair_slices(F.col("name"), F.col("budget")))
         .select("id", "size", "bag", "budget", empty.alias("_empty"), F.posexplode("_slices").alias("slot", "_s"))
         .filter((F.col("_s") != "") | (F.col("_empty") >= F.col("budget")))
-        .select("id", "size", "bag", F.xxhash64("budget", "slot", "_s").alias("key"))
+        .select("id", "size", "bag", "budget", F.lit(None).cast("string").alias("text"), F.xxhash64("budget", "slot", "_s").alias("key"))
     )
 
 
 def fuzzy_keys(names: DataFrame, threshold: int = 95) -> DataFrame:
-    """``id, size, bag, key`` such that two names scoring above the threshold share a key.
+    """``id, size, bag, budget, text, key`` such that two names scoring above the threshold share a key of their budget.
 
     A name gets the keys of every budget it can have with a partner of admissible length.
+    ``text`` is the name; null for budgets from ``LARGE_BUDGET`` on, whose names are long.
     """
     size = F.col("size")
     rate = (199 - 2 * threshold) / 200
@@ -308,12 +309,17 @@ def fuzzy_candidates(a: DataFrame, b: DataFrame, threshold: int = 95) -> DataFra
     """``a, b``: ids of the pairs that share a key and may be within budget, each once.
 
     An edit changes whether the count of one character is odd, so the bags differ in no
-    more bits than there are edits; this is seen in the join, before texts are looked up.
+    more bits than there are edits, and the Levenshtein distance never exceeds their
+    count. Both are seen in the join, where names that share a key but little else end.
     """
-    side = lambda df, name: fuzzy_keys(df, threshold).select(*[F.col(c).alias(f"{name}_{c}") for c in ("id", "size", "bag")], "key")
+    columns = ("id", "size", "bag", "budget", "text")
+    side = lambda df, name: fuzzy_keys(df, threshold).select(*[F.col(c).alias(f"{name}_{c}") for c in columns], "key")
     budget = edit_budget(F.col("a_size") + F.col("b_size"), threshold)
-    near = (F.abs(F.col("a_size") - F.col("b_size")) <= budget) & (F.bit_count(F.col("a_bag").bitwiseXOR(F.col("b_bag"))) <= budget)
-    return side(a, "a").join(side(b, "b"), "key").filter(near).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+    near = (F.abs(F.col("a_size") - F.col("b_size")) <= F.col("a_budget")) & (F.bit_count(F.col("a_bag").bitwiseXOR(F.col("b_bag"))) <= F.col("a_budget"))
+    own = (F.col("a_budget") == F.col("b_budget")) & (F.col("a_budget") == budget)
+    # beyond its last argument the distance is -1; texts are missing where names are long
+    alike = F.expr("a_text IS NULL OR b_text IS NULL OR levenshtein(a_text, b_text, a_budget) >= 0")
+    return side(a, "a").join(side(b, "b"), "key").filter(near & own & alike).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
 
 def fuzzy_join(

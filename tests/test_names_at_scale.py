@@ -7,7 +7,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from padron.functions.fuzzy import BLOCK, fuzzy_ratio, lcs, lcs_length
+from padron.functions.fuzzy import BLOCK, edit_budget, fuzzy_ratio, lcs, lcs_length
 from padron.operators import linkage
 from padron.operators.linkage import _identified, _placed_runs, containment_join, fuzzy_candidates, fuzzy_join, rarest_words
 from padron.operators.quality import frequency_stoplist, merged_counts, stops_of, token_counts
@@ -72,6 +72,15 @@ def test_candidates_of_names_that_share_common_words(spark):
     assert fuzzy_join(left, "a", right, "b").count() == n
 
 
+def test_candidates_are_within_the_edits_their_length_allows(spark):
+    left = spark.range(3000).select(F.concat(F.lit("red ring grupo"), F.pmod(F.col("id") * 7919, F.lit(1000003)).cast("string")).alias("a"))
+    a, b = _identified(left, "a"), _identified(left.select(F.col("a").alias("b")), "b")
+    met = fuzzy_candidates(a, b).join(a.select(F.col("id").alias("a"), F.col("name").alias("x")), "a").join(b.select(F.col("id").alias("b"), F.col("name").alias("y")), "b")
+    far = F.levenshtein("x", "y") > edit_budget(F.length("x") + F.length("y"))
+    assert met.filter(far).limit(5).collect() == []
+    assert met.count() >= 3000
+
+
 # --- dictionary ------------------------------------------------------------------------
 
 
