@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from padron.functions.cells import bind
+
 # Spelling pattern -> canonical form, applied in this order.
 # A "." in a pattern stands for any run of spaces and dots.
 LEGAL_FORMS: list[tuple[str, str]] = [
@@ -71,6 +73,11 @@ ZONE = zone_pattern([spelling for spelling, _ in LEGAL_FORMS])
 
 
 def _apply(c: Column, target) -> Column:
+    """The rules on a name that is worked out once, not again at each place that uses it."""
+    return bind(c, lambda name: _apply_rules(name, target))
+
+
+def _apply_rules(c: Column, target) -> Column:
     """The rules in order, on the part of the name that begins with the first possible form.
 
     No rule matches before it, so most of a name is read once instead of once for each
@@ -86,7 +93,7 @@ def _apply(c: Column, target) -> Column:
             changed = F.regexp_replace(changed, form_pattern(spelling), target(form))
         return F.when(zone == "", c).otherwise(F.concat(head, F.substr(changed, F.length(sign) + 1)))
 
-    whole = F.get(F.transform(F.array(F.regexp_extract(c, ZONE, 2)), rules), 0)
+    whole = bind(F.regexp_extract(c, ZONE, 2), rules)
     return F.trim(F.regexp_replace(whole, r"(?U)\s+", " "))
 
 

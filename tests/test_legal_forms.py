@@ -43,3 +43,9 @@ def test_names_without_a_form_or_a_text(spark):
     df = spark.createDataFrame([(i, n) for i, n in enumerate([None, "", " ", "acme", "x" * 20_000, "obras " * 3000 + "s.l."])], "i int, n string")
     got = [r.f for r in df.select("i", standardise_legal_form(F.col("n")).alias("f")).orderBy("i").collect()]
     assert got == [None, "", "", "acme", "x" * 20_000, "obras " * 3000 + "s.l."]
+
+
+@pytest.mark.parametrize("change", [standardise_legal_form, remove_legal_form])
+def test_a_name_is_worked_out_once(spark, change):
+    df = spark.createDataFrame([("acme s.l.",)], "n string").select(change(F.md5(F.col("n").cast("binary"))).alias("form"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
