@@ -1,11 +1,12 @@
 """Legal forms against the rules applied one by one to whole names."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from padron.functions.legal_forms import LEGAL_FORMS, form_pattern, remove_legal_form, standardise_legal_form
+from padron.functions.legal_forms import LEGAL_FORMS, LINKS, LONG_PARTS, form_pattern, needed_letters, possible_rules, remove_legal_form, rule_parts, standardise_legal_form
 
 
 def direct(c, target):
@@ -49,3 +50,31 @@ def test_names_without_a_form_or_a_text(spark):
 def test_a_name_is_worked_out_once(spark, change):
     df = spark.createDataFrame([("acme s.l.",)], "n string").select(change(F.md5(F.col("n").cast("binary"))).alias("form"))
     assert df._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+
+
+def test_long_parts_stand_for_their_first_letter_alone():
+    for spelling, _ in LEGAL_FORMS:
+        parts = rule_parts(spelling)
+        for i in range(len(parts)):
+            for j in range(i + 1, len(parts) + 1):
+                made_of = re.compile("".join(parts[i:j]))
+                for word in LONG_PARTS:
+                    needed = set().union(*(needed_letters(part) for part in parts[i:j]))
+                    assert not made_of.fullmatch(word) or needed <= {word[0]}, (spelling, word)
+                for word in LINKS:
+                    assert not made_of.fullmatch(word) or parts[i:j] == [f"({word})?"], (spelling, word)
+
+
+def test_only_rules_whose_letters_stand_there_are_tried(spark):
+    zones = [" sociedad limitada", " s.l.", ", soc. anónima", " unión temporal de empresas", " comunidad de bienes", " madrid"]
+    df = spark.createDataFrame([(i, z) for i, z in enumerate(zones)], "i int, z string")
+    tried = [[LEGAL_FORMS[n][1] for n in r.rules] for r in df.orderBy("i").select(possible_rules(F.col("z")).alias("rules")).collect()]
+    assert tried == [["s.l", "s.l.l"], ["s.l", "s.l.l"], ["s.a"], ["u.t.e"], ["c.b"], []]
+
+
+def test_a_word_that_several_parts_make(spark):
+    df = spark.createDataFrame([("acme u temp",), ("acme s.coop. l",), ("acme s. c, l",), ("acme sociedadlimitada",), ("acme.coop",)], "n string")
+    c = F.col("n")
+    rows = df.select(standardise_legal_form(c).alias("form"), direct(c, lambda form: f" {form}. ").alias("form_direct")).collect()
+    assert [r.form for r in rows] == [r.form_direct for r in rows]
+    assert rows[0].form == "acme u.t.e."
