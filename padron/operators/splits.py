@@ -66,8 +66,9 @@ def marker_hits(texts: DataFrame, key: str, text: str, forms: DataFrame) -> Data
     begins = heads.select(F.substring("head", 1, 1).alias("first"), F.length("head").alias("n")).distinct().collect()
     firsts, sizes = "".join(sorted({r.first for r in begins})), sorted({r.n for r in begins})
     plain = texts.select(F.col(key).alias("key"), _spaced(F.col(text)).alias("plain")).filter("plain <> ''")
-    may = F.filter(F.sequence(F.lit(1), F.length("plain")), lambda i: F.instr(F.lit(firsts), F.substr("plain", i, F.lit(1))) > 0)
-    places = plain.select("key", "plain", F.explode(may).alias("at"))
+    # one pass over the characters; looked up by place, each would be counted from the beginning of the text
+    placed = plain.select("key", "plain", F.posexplode(F.split("plain", "")).alias("_before", "_first"))
+    places = placed.filter(F.instr(F.lit(firsts), F.col("_first")) > 0).select("key", "plain", (F.col("_before") + 1).alias("at"))
     begun = places.select("*", F.explode(F.array(*[F.substr("plain", F.col("at"), F.lit(n)) for n in sizes]).cast("array<string>")).alias("head"))
     found = begun.join(heads, "head").select("key", "plain", "at", F.explode("lengths").alias("n"))
     found = found.select("key", "at", "n", F.substr("plain", F.col("at"), F.col("n")).alias("form"))
