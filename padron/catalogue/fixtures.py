@@ -42,8 +42,9 @@ part_pairs AS (
 
 
 def part_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), "p_name")
-    earlier = part.select((F.col("k") + 6).alias("k"), F.col("p_name").alias("earlier"))
+    named = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), "p_name")
+    part = dealt(named)
+    earlier = named.select((F.col("k") + 6).alias("k"), F.col("p_name").alias("earlier"))
     m = F.col("k") % 10
     core = (
         F.when(m < 3, F.concat("p_name", F.lit(" "), m.cast("string")))

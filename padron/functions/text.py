@@ -37,7 +37,8 @@ TOKEN_SEPARATORS = r"(?U)[.,!?;:\s()-]"
 
 def squash_space(c: Column) -> Column:
     """Drop white space after a word-then-symbol pair and before a symbol-then-word pair."""
-    return F.regexp_replace(c, r"(?U)((?<=\w\W)\s+)|(\s+(?=\W\w))", "")
+    # begins with the white space itself, so that other characters are passed over at once
+    return F.regexp_replace(c, r"(?U)\s(?:(?<=\w\W\s)\s*|\s*(?=\W\w))", "")
 
 
 def strip_embedded_id(name: Column, id_: Column) -> Column:
@@ -49,7 +50,7 @@ def strip_embedded_id(name: Column, id_: Column) -> Column:
 def clean_text(c: Column) -> Column:
     """Lower-case; keep only ``, . -`` as punctuation, hyphens set apart; trim symbols (a final dot stays)."""
     spaced = F.replace(F.regexp_replace(F.lower(c), r"\p{P}(?<![,.-])", " "), F.lit("-"), F.lit(" - "))
-    bare = F.regexp_replace(spaced, r"(?U)^[\s\p{P}]*|[\s\p{P}]*(?<![.])$", "")
+    bare = F.regexp_replace(spaced, r"(?U)^[\s\p{P}]+|[\s\p{P}]+(?<![.])$", "")
     return F.regexp_replace(bare, r"(?U)\s{2,}", " ")
 
 

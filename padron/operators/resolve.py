@@ -42,11 +42,12 @@ def regroup_items(items: DataFrame, keys: list[str], column: str, order: list[st
 
 
 def _collapse(groups: DataFrame, repeated: str, chosen: str) -> DataFrame:
+    """``first`` is carried where the groups have it."""
     return groups.groupBy(repeated).agg(
         F.count(F.lit(1)).alias("n_groups"),
         F.min(ranked(F.col("count"), F.col(chosen)))["value"].alias(chosen),
         F.sum("count").alias("count"),
-        F.min("first").alias("first"),
+        *[F.min(c).alias(c) for c in groups.columns if c == "first"],
     )
 
 
@@ -89,7 +90,7 @@ def golden_records(ids: DataFrame) -> DataFrame:
 
 def replaced_ids(ids: DataFrame) -> DataFrame:
     """``ID -> golden_id`` for IDs absorbed by another one; every other ID is its own golden ID."""
-    single = ids.filter("n_groups = 1").select(*KEYS, "count", "first")
+    single = ids.filter("n_groups = 1").select(*KEYS, "count")
     by_name = _collapse(single, "Name_norm", "ID").filter("n_groups > 1")
     winners = by_name.select("Name_norm", F.col("ID").alias("golden_id"))
     matched = single.select(*KEYS).join(winners, "Name_norm")

@@ -26,6 +26,9 @@ COLUMNS = [
     "isPYME",
 ]
 
+#: Tasks of the cleaning for each core, so that a last round of few tasks is short.
+TASKS_PER_CORE = 4
+
 
 @dataclass(frozen=True)
 class CompanyTables:
@@ -57,31 +60,61 @@ def associations(mentions: DataFrame) -> DataFrame:
         F.min("_zone").alias("zone_lo"),
         F.max("_zone").alias("zone_hi"),
     )
-    named = pairs.withColumns({"ID": F.col("raw_id"), "Name": F.col("raw_name")})
+    # cleaning costs much more than the bytes of a pair tell, and tasks sized by bytes are hardly more than there are cores
+    n = TASKS_PER_CORE * mentions.sparkSession.sparkContext.defaultParallelism
+    named = pairs.repartition(n, "raw_id", "raw_name").withColumns({"ID": F.col("raw_id"), "Name": F.col("raw_name")})
     return clean_mentions(named, keep=["raw_id", "raw_name", "city_lo", "city_hi", "zone_lo", "zone_hi"])
 
 
-def _attributes(assigned: DataFrame) -> DataFrame:
-    used = names_consortium(F.col("Name")) | names_consortium(F.col("Name_proc"))
-    longest = F.array_min(F.array(F.min(by_length(F.col("Name"))), F.min(by_length(F.col("Name_proc")))))
-    return assigned.groupBy("golden_id").agg(
+def _variants(pairs: DataFrame) -> DataFrame:
+    """One row per ID and name without legal form, over all spellings; what follows reads these, not the spellings.
+
+    ``ord`` is compared in a struct, where null comes first as it does in ``_proposed``.
+    """
+    return pairs.groupBy("ID", "Name_proc", "Name_norm").agg(
+        F.sum("count").alias("count"),
+        F.min(F.struct("ord"))["ord"].alias("ord"),
+        F.min(by_length(F.col("Name"))).alias("longest"),
+        F.bool_and("isPYME").alias("isPYME"),
+        F.bool_or(names_consortium(F.col("Name"))).alias("named_consortium"),
+        F.min("city_lo").alias("city_lo"),
+        F.max("city_hi").alias("city_hi"),
+        F.min("zone_lo").alias("zone_lo"),
+        F.max("zone_hi").alias("zone_hi"),
+    )
+
+
+def _golden_table(assigned: DataFrame) -> DataFrame:
+    """One row per golden ID from ``_variants`` with their ``golden_id``.
+
+    ``Name`` is the most frequent name without legal form; ties go to the first in
+    (ID, key, input) order.
+    """
+    first = F.min(F.struct("ID", "Name_norm", "ord"))
+    named = assigned.groupBy("golden_id", "Name_proc").agg(
+        F.sum("count").alias("count"),
+        first.alias("first"),
+        F.min("longest").alias("longest"),
+        F.bool_and("isPYME").alias("isPYME"),
+        F.bool_or("named_consortium").alias("named_consortium"),
+        F.min("city_lo").alias("city_lo"),
+        F.max("city_hi").alias("city_hi"),
+        F.min("zone_lo").alias("zone_lo"),
+        F.max("zone_hi").alias("zone_hi"),
+    )
+    best = F.min(F.struct((-F.col("count")).alias("n"), "first", F.col("Name_proc").alias("name")))
+    longest = F.array_min(F.array(F.min("longest"), F.min(by_length(F.col("Name_proc")))))
+    return named.groupBy("golden_id").agg(
+        best["name"].alias("Name"),
         longest["value"].alias("FullName"),
         F.bool_and("isPYME").alias("isPYME"),
-        F.bool_or(used).alias("named_consortium"),
+        F.bool_or(F.col("named_consortium") | names_consortium(F.col("Name_proc"))).alias("named_consortium"),
         F.when(F.min("city_lo") == F.max("city_hi"), F.max("city_hi")).alias("City"),
         leading_segment(F.when(F.min("zone_lo") == F.max("zone_hi"), F.max("zone_hi")), ".").alias("PostalCode"),
         F.sum("count").alias("n_mentions"),
     )
 
 
-def _proposed(assigned: DataFrame) -> DataFrame:
-    """Most frequent name without legal form; ties go to the first in (ID, key, input) order."""
-    first = F.min(F.struct("ID", "Name_norm", "ord"))
-    counted = assigned.groupBy("golden_id", "Name_proc").agg(F.sum("count").alias("_n"), first.alias("_first"))
-    best = F.min(F.struct((-F.col("_n")).alias("n"), F.col("_first").alias("first"), F.col("Name_proc").alias("name")))
-    return counted.groupBy("golden_id").agg(best["name"].alias("Name"))
-
-
 def company_tables(mentions: DataFrame) -> CompanyTables:
     """Golden companies and consortia.
 
@@ -92,11 +125,11 @@ def company_tables(mentions: DataFrame) -> CompanyTables:
     """
     cleaned = stage(associations(mentions), "associations")
     pairs = cleaned.filter(F.col("ID").isNotNull() & F.col("Name_norm").isNotNull())
-    ids = stage(id_summary(mention_groups(pairs, weight="count")), "ids")
-    assigned = stage(
-        attach_golden_id(pairs, replaced_ids(ids)), "assigned"
-    )
-    table = _attributes(assigned).join(_proposed(assigned), "golden_id").withColumnRenamed("golden_id", "NIF")
+    variants = stage(_variants(pairs), "variants")
+    ids = stage(id_summary(mention_groups(variants, weight="count").drop("first")), "ids")
+    replaced = replaced_ids(ids)
+    assigned = attach_golden_id(pairs, replaced)
+    table = _golden_table(attach_golden_id(variants, replaced)).withColumnRenamed("golden_id", "NIF")
     decoded = with_id_type(decode_cif(table, "NIF"), "NIF")
     companies = stage(decoded, "companies")
     kind = is_consortium(
