@@ -61,8 +61,9 @@ def associations(mentions: DataFrame) -> DataFrame:
         F.max("_zone").alias("zone_hi"),
     )
     # cleaning costs much more than the bytes of a pair tell, and tasks sized by bytes are hardly more than there are cores
+    # (in the order of the grouping the keys would be dealt as they are where the number of tasks is the same)
     n = TASKS_PER_CORE * mentions.sparkSession.sparkContext.defaultParallelism
-    named = pairs.repartition(n, "raw_id", "raw_name").withColumns({"ID": F.col("raw_id"), "Name": F.col("raw_name")})
+    named = pairs.repartition(n, "raw_name", "raw_id").withColumns({"ID": F.col("raw_id"), "Name": F.col("raw_name")})
     return clean_mentions(named, keep=["raw_id", "raw_name", "city_lo", "city_hi", "zone_lo", "zone_hi"])
 
 

@@ -48,6 +48,15 @@ def test_cleaning_has_more_tasks_than_cores(spark):
     assert pairs.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
 
 
+def test_cleaning_has_more_tasks_where_the_grouping_has_as_many(spark):
+    was, n = spark.conf.get("spark.sql.shuffle.partitions"), company_table.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    try:
+        assert associations(spark.createDataFrame(spellings(), SCHEMA)).rdd.getNumPartitions() == n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
 def test_a_small_file_of_many_parts_is_several_tasks(spark, tmp_path):
     n = 2 * ROWS_PER_TASK + 10
     spark.range(n).selectExpr("id AS p_partkey", "'bolt' AS p_name").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
