@@ -134,6 +134,9 @@ def _rows(batches: Iterator[pa.RecordBatch], tokenizer: str, capacity: int, grou
         yield _packed(ids, names, capacity)
 
 
+#: A Parquet writer looks at its page's size after so many rows, at first and between looks.
+#: By default it is 100, which holds 50 MB of matrices in a page, and as much again twice to compress it.
+PAGE_CHECK = {"parquet.page.size.row.check.min": "1"}
 MATRICES = "n_rows int, matrix binary, positions binary, cu_seqlens array<array<int>>, doc_ids array<long>, pieces array<int>"
 
 
@@ -148,7 +151,13 @@ def matrices(packed: DataFrame, rows: int = 64, capacity: int = ROW_TOKENS, pad:
 
 
 def pack_matrices(documents: DataFrame, tokenizer: str = TOKENIZER, capacity: int = ROW_TOKENS, group: int = GROUP_TOKENS, rows: int = 64) -> DataFrame:
-    """``matrices`` of ``pack_documents``, made where the rows are packed."""
+    """``matrices`` of ``pack_documents``, made where the rows are packed.
+
+    A row holds a MB, so the session's Parquet writers are told to look at page sizes after
+    each row; this changes where pages end, no rows.
+    """
+    for key, value in PAGE_CHECK.items():
+        documents.sparkSession.conf.set(key, value)
     return _texts(documents).mapInArrow(lambda batches: _stacked(_rows(batches, tokenizer, capacity, group), rows, capacity, END_ID), MATRICES)
 
 

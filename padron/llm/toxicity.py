@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from padron.llm.words import POSITION, SPACES, Words, chunks, mix
+from padron.llm.words import POSITION, SPACES, Words, chunks, give_back, mix
 
 GRAMS = (3, 4, 5, 6)
 TABLE_BITS = 18
@@ -273,6 +273,8 @@ def _condense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = sorted((r["doc_id"], r["text"], r["counts"], r["toxic"]) for b in batches for r in b.to_pylist())
     logits, bias = _packed(*train(*([r[k] for r in rows] for k in (1, 2, 3))))
+    del rows
+    give_back()
     yield pa.record_batch([pa.array([logits], pa.binary()), pa.array([bias])], ["logits", "bias"])
 
 

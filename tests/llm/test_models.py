@@ -178,6 +178,27 @@ def test_matrices(spark, documents):
             assert set(np.flatnonzero(place == 0)) == {x for x in cu if x < 128}
 
 
+def test_matrices_are_written_in_small_pages(spark, tmp_path):
+    """A page of many matrices takes its size three times over while it is compressed."""
+    rng = random.Random(3)
+    texts = [(i, " ".join(str(rng.randrange(10**6)) for _ in range(20_000))) for i in range(24)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    packing.pack_matrices(docs).write.parquet(str(tmp_path / "packed"))
+    files = spark._jvm.org.apache.hadoop.fs.Path
+    hadoop, conf = spark._jvm.org.apache.parquet.hadoop, spark._jsc.hadoopConfiguration()
+    blocks = most = 0
+    for file in (tmp_path / "packed").glob("*.parquet"):
+        reader = hadoop.ParquetFileReader.open(hadoop.util.HadoopInputFile.fromPath(files(str(file)), conf))
+        for group in reader.getFooter().getBlocks():
+            for column in group.getColumns():
+                if column.getPath().toDotString() in ("matrix", "positions"):
+                    pages = reader.readOffsetIndex(column).getPageCount()
+                    most = max(most, group.getRowCount() / pages)
+                    blocks += group.getRowCount()
+        reader.close()
+    assert blocks >= 12 and most <= 4
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     kept, clean = docs, None
